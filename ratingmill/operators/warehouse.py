@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratingmill.functions import scalars as S
-from ratingmill.operators.ranking import with_position
 from ratingmill.operators.splitting import centre, train_rows, user_means
 
 TABLES = ("dim_user", "dim_movie", "dim_genre", "dim_time", "fact_rating")
 
 
+def _number(key: str) -> Column:
+    """Surrogate key in sorted order. Only for the distinct days and genre names, whose number
+    the calendar and the genre list bound; one task numbers them."""
+    return F.row_number().over(Window.orderBy(key)).cast("bigint")
+
+
 def dim_user(split: DataFrame, scope: str = "all") -> DataFrame:
     """Count, mean and activity per user, over all ratings or the training ratings."""
     rows = split if scope == "all" else split.filter("is_train")
@@ -51,13 +56,13 @@ def dim_movie(movies: DataFrame, links: DataFrame | None = None, metadata: DataF
 def dim_genre(movies: DataFrame) -> DataFrame:
     names = movies.select(F.explode(F.split("genres", r"\|")).alias("genre_name"))
     distinct = names.select(F.trim("genre_name").alias("genre_name")).filter("genre_name <> ''").distinct()
-    return with_position(distinct, ["genre_name"], "genre_id").select("genre_id", "genre_name")
+    return distinct.select(_number("genre_name").alias("genre_id"), "genre_name")
 
 
 def dim_time(ratings: DataFrame) -> DataFrame:
     days = ratings.select(S.epoch_date(F.col("timestamp")).alias("full_date")).na.drop().distinct()
-    return with_position(days, ["full_date"], "time_id").select(
-        "time_id",
+    return days.select(
+        _number("full_date").alias("time_id"),
         "full_date",
         F.year("full_date").alias("year"),
         F.month("full_date").alias("month"),
