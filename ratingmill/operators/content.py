@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -186,10 +188,17 @@ def dense_sample(features: DataFrame, items: int = 1000) -> DataFrame:
     packed = (
         features.join(F.broadcast(chosen), "id")
         .groupBy("id")
-        .agg(F.map_from_entries(F.collect_list(F.struct("feature", "weight"))).alias("_map"))
+        .agg(F.collect_list(F.struct("feature", "weight")).alias("_entries"))
+        .select("id", F.col("_entries.feature").alias("_at"), F.col("_entries.weight").alias("_value"))
     )
-    cells = F.transform(
-        F.sequence(F.lit(1).cast("bigint"), F.lit(width).cast("bigint")),
-        lambda i: F.coalesce(F.element_at("_map", i), F.lit(0.0)),
-    )
-    return packed.select(F.col("id").alias("movieId"), cells.alias("features"))
+
+    @F.pandas_udf("array<double>")
+    def scatter(at: pd.Series, value: pd.Series) -> pd.Series:
+        rows = []
+        for positions, weights in zip(at, value):
+            row = np.zeros(width)
+            row[positions - 1] = weights
+            rows.append(row)
+        return pd.Series(rows)
+
+    return packed.select(F.col("id").alias("movieId"), scatter("_at", "_value").alias("features"))

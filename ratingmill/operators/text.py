@@ -20,17 +20,21 @@ def words(text: Column, stop_words: Sequence[str] = ENGLISH) -> Column:
     return F.filter(tokens, lambda t: ~t.isin(*stop_words)) if stop_words else tokens
 
 
-def terms(text: Column, stop_words: Sequence[str] = ENGLISH) -> Column:
-    """Words, and pairs of neighbouring words after stop-word removal, of one text."""
-    single = words(text, stop_words)
+def pairs_of(single: Column) -> Column:
+    """Pairs of neighbouring words of a word array."""
     later = F.slice(single, 2, F.greatest(F.size(single) - 1, F.lit(0)))
     pairs = F.zip_with(single, later, lambda a, b: F.concat(a, F.lit(" "), b))
     # zip_with pads the shorter array with null.
-    return F.concat(single, F.filter(pairs, lambda p: p.isNotNull()))
+    return F.filter(pairs, lambda p: p.isNotNull())
 
 
 def exploded_terms(docs: DataFrame, stop_words: Sequence[str] = ENGLISH) -> DataFrame:
-    return docs.select("id", F.explode(terms(F.col("text"), stop_words)).alias("term"))
+    """Words, and pairs of neighbouring words after stop-word removal, one row per occurrence.
+
+    The words are a column of their own first: used several times, they are computed once.
+    """
+    split = docs.select("id", words(F.col("text"), stop_words).alias("_words"))
+    return split.select("id", F.explode(F.concat("_words", pairs_of(F.col("_words")))).alias("term"))
 
 
 def vocabulary(term_rows: DataFrame, max_terms: int = DEFAULTS.max_terms) -> DataFrame:

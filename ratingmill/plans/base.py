@@ -159,17 +159,24 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
              FROM user_sim WHERE s <> 0) WHERE rk <= 20""",
         ("user_sim", "centred"),
     ),
+    # Every unseen training movie is a candidate; one without a weighted rating deviates by 0.
+    "unseen": (
+        """SELECT u.userId, i.movieId FROM (SELECT DISTINCT userId FROM train WHERE userId IN (SELECT userId FROM test)) u,
+             (SELECT DISTINCT movieId FROM train) i
+           WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.userId = u.userId AND t.movieId = i.movieId)""",
+        ("train", "test"),
+    ),
     "ubcf": (
         """SELECT userId, CAST(rk AS INTEGER) AS rank, movieId, least(5.0, greatest(0.5, m + d)) AS predicted_rating,
              'UBCF' AS method
-           FROM (SELECT u AS userId, movieId, d, row_number() OVER (PARTITION BY u ORDER BY d DESC, movieId) AS rk
-                 FROM (SELECT w.u, c.movieId, round(sum(w.w * c.r), 6) + 0.0 AS d
-                       FROM (SELECT u, v, s / sum(abs(s)) OVER (PARTITION BY u) AS w FROM user_near) w
-                       JOIN centred c ON c.userId = w.v GROUP BY 1, 2) x
-                 WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.userId = x.u AND t.movieId = x.movieId)
-                   AND u IN (SELECT userId FROM test))
+           FROM (SELECT userId, movieId, d, row_number() OVER (PARTITION BY userId ORDER BY d DESC, movieId) AS rk
+                 FROM (SELECT userId, movieId, coalesce(d, 0) AS d FROM unseen LEFT JOIN (
+                         SELECT w.u AS userId, c.movieId, round(sum(w.w * c.r), 6) + 0.0 AS d
+                         FROM (SELECT u, v, s / sum(abs(s)) OVER (PARTITION BY u) AS w FROM user_near) w
+                         JOIN centred c ON c.userId = w.v GROUP BY 1, 2) USING (userId, movieId)
+                       WHERE userId IN (SELECT u FROM user_near)))
              JOIN means USING (userId) WHERE rk <= 10""",
-        ("user_near", "centred", "train", "means", "test"),
+        ("user_near", "centred", "means", "unseen"),
     ),
     # Movies: cosine of centred ratings.
     "item_unit": (
@@ -182,18 +189,25 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
            JOIN item_unit b ON a.userId = b.userId AND a.movieId <> b.movieId GROUP BY 1, 2""",
         ("item_unit",),
     ),
+    "item_near": (
+        """SELECT i, j, s, CAST(rk AS INTEGER) AS rk FROM (
+             SELECT i, j, s, row_number() OVER (PARTITION BY i, s > 0 ORDER BY s DESC, j)
+               + CASE WHEN s > 0 THEN 0 ELSE (SELECT count(DISTINCT movieId) - 1 FROM centred)
+                   - count(*) OVER (PARTITION BY i, s > 0) END AS rk
+             FROM (SELECT i, j, round(s, 6) + 0.0 AS s FROM item_sim) WHERE s <> 0) WHERE rk <= 20""",
+        ("item_sim", "centred"),
+    ),
     "ibcf": (
         """SELECT userId, CAST(rk AS INTEGER) AS rank, movieId, least(5.0, greatest(0.5, m + d)) AS predicted_rating,
              'IBCF' AS method
            FROM (SELECT userId, movieId, d, row_number() OVER (PARTITION BY userId ORDER BY d DESC, movieId) AS rk
-                 FROM (SELECT c.userId, k.i AS movieId,
-                         round(coalesce(sum(k.s * c.r) / nullif(sum(CASE WHEN c.r <> 0 THEN abs(k.s) END), 0), 0), 6) + 0.0 AS d
-                       FROM (SELECT i, j, round(s, 9) AS s FROM item_sim WHERE round(s, 9) <> 0) k
-                       JOIN centred c ON c.movieId = k.j GROUP BY 1, 2) x
-                 WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.userId = x.userId AND t.movieId = x.movieId)
-                   AND userId IN (SELECT userId FROM test))
+                 FROM (SELECT userId, movieId, coalesce(d, 0) AS d FROM unseen LEFT JOIN (
+                         SELECT c.userId, k.i AS movieId,
+                           round(coalesce(sum(k.s * c.r) / nullif(sum(CASE WHEN c.r <> 0 THEN abs(k.s) END), 0), 0), 6) + 0.0 AS d
+                         FROM (SELECT i, j, round(s, 9) AS s FROM item_sim WHERE round(s, 9) <> 0) k
+                         JOIN centred c ON c.movieId = k.j GROUP BY 1, 2) USING (userId, movieId)))
              JOIN means USING (userId) WHERE rk <= 10""",
-        ("item_sim", "centred", "train", "means", "test"),
+        ("item_sim", "centred", "means", "unseen"),
     ),
     # TF-IDF of the movies' texts.
     "movie_text": (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from ratingmill.functions import scalars as S
@@ -61,9 +61,9 @@ def frequent_itemsets(spark, folder):
     return found.select(F.array_join("items", ", ").alias("items"), "frequency", S.rounded(F.col("support")).alias("support"))
 
 
-@query(rule_sql(_ORDER_MASKS, _RULES_TAIL, "rating_rows", "type_movies"))
+@query(rule_sql(_ORDER_MASKS, _RULES_TAIL, "rating_rows", "type_movies").replace(">= 0.4)", ">= 0.2)"))
 def order_rules(spark, folder):
-    return _shown(rules.mine_rules(_order_baskets(spark, folder), min_support=0.05, min_confidence=0.4))
+    return _shown(rules.mine_rules(_order_baskets(spark, folder), min_support=0.05, min_confidence=0.2))
 
 
 @query(rule_sql(_USER_MASKS, _RULES_TAIL, "train", "type_movies"))
@@ -141,14 +141,7 @@ def user_neighbours(spark, folder):
     return neighbours.user_neighbours(centred_of(spark, folder)[0])
 
 
-@query(
-    sql(
-        """SELECT i AS movieId, j AS neighbour, s AS similarity, CAST(rk AS INTEGER) AS rank FROM (
-             SELECT i, j, round(s, 6) + 0.0 AS s, row_number() OVER (PARTITION BY i ORDER BY round(s, 6) DESC, j) AS rk
-             FROM item_sim WHERE round(s, 6) > 0) WHERE rk <= 20""",
-        "item_sim",
-    )
-)
+@query(sql("SELECT i AS movieId, j AS neighbour, s AS similarity, rk AS rank FROM item_near", "item_near"))
 def item_neighbours(spark, folder):
     return neighbours.item_neighbours(centred_of(spark, folder)[0])
 
@@ -202,7 +195,7 @@ def user_profiles(spark, folder):
 
 @query(
     sql(
-        """SELECT movieId, similar_id, round(similarity, 4) AS similarity, CAST(rk AS INTEGER) AS rank FROM (
+        """SELECT movieId, similar_id, similarity, CAST(rk AS INTEGER) AS rank FROM (
              SELECT i AS movieId, j AS similar_id, s AS similarity, row_number() OVER (PARTITION BY i ORDER BY s DESC, j) AS rk
              FROM (SELECT g.i, g.j, round(g / (a.n * b.n), 6) AS s FROM gram g JOIN item_norm a ON a.i = g.i
                    JOIN item_norm b ON b.i = g.j WHERE g.i <> g.j) WHERE s <> 0) WHERE rk <= 10""",
@@ -211,7 +204,7 @@ def user_profiles(spark, folder):
 )
 def similar_items(spark, folder):
     rows = content.similar_items(_features(spark, folder))
-    return rows.withColumn("similarity", F.round(F.col("similarity").cast("double"), 4))
+    return rows.withColumn("similarity", S.rounded(F.col("similarity").cast("double")))
 
 
 @query(
@@ -271,8 +264,6 @@ def principal_components(spark, folder):
         "vec_id", "label", array_to_vector(F.col("embedding").cast("array<double>")).alias("features")
     )
     rows, shares = content.principal_components(vectors)
-    from pyspark.ml.functions import vector_to_array
-
     pair = vector_to_array("components")
     return rows.select(
         "vec_id",
