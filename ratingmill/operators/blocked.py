@@ -18,7 +18,7 @@ from math import ceil
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ratingmill.operators.ranking import top_per_group
@@ -31,6 +31,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _LEFT, _RIGHT, _SKIP, _FIXED = 0, 1, 2, 3
 _SHIPPED = ["lb", "rb", "kind", "id", "key", "weight"]
 _CELLS = 4_000_000  # cells of the dense score slice a task works on
+_CHUNK = 2_048  # columns of one matrix product
 
 
 Product = Callable[[np.ndarray, np.ndarray], np.ndarray]
@@ -73,7 +74,7 @@ class BlockPlan:
     """Size limits of a block. Left ids are scored in slices, so a left block may hold more."""
 
     left_ids: int = 16_384
-    right_ids: int = 4_096
+    right_ids: int = 32_768
     entries: int = 2_000_000
     long_row: int = 500_000  # entries of one id above which it is scored by a join
 
@@ -182,14 +183,21 @@ def _sparse_product(lrow, lfeat, rptr, rcol, start: int, stop: int, n_cols: int)
 
 
 def _dense_product(lrow, lfeat, rfeat, rcol, start: int, stop: int, n_cols: int, n_feat: int) -> Product:
-    """The same for nearly full rows, as a matrix product."""
+    """The same for well-filled rows, as matrix products over chunks of columns."""
     first, last = np.searchsorted(lrow, [start, stop])
+    by_col = np.argsort(rcol, kind="stable")
+    edges = np.arange(0, n_cols + _CHUNK, _CHUNK)
+    cuts = np.searchsorted(rcol[by_col], edges)
 
     def product(lw: np.ndarray, rw: np.ndarray) -> np.ndarray:
-        lhs, rhs = np.zeros((stop - start, n_feat)), np.zeros((n_feat, n_cols))
+        lhs, out = np.zeros((stop - start, n_feat)), np.empty((stop - start, n_cols))
         lhs[lrow[first:last] - start, lfeat[first:last]] = lw[first:last]
-        rhs[rfeat, rcol] = rw
-        return lhs @ rhs
+        for edge, low, high in zip(edges, cuts, cuts[1:]):
+            at, width = by_col[low:high], min(_CHUNK, n_cols - edge)
+            rhs = np.zeros((n_feat, width))
+            rhs[rfeat[at], rcol[at] - edge] = rw[at]
+            out[:, edge : edge + width] = lhs @ rhs
+        return out
 
     return product
 
@@ -245,7 +253,8 @@ def _block_kernel(k: int | None, digits: int, score: Score, skip_self: bool):
         # Slice so that both the dense scores and the matched entries stay small.
         work = np.zeros(len(lids), dtype=np.int64)
         np.add.at(work, lrow, rptr[lfeat + 1] - rptr[lfeat])
-        full = len(features) <= 512 and work.sum() > 0.2 * len(lids) * len(rids) * len(features)
+        # A matched entry costs some hundred times a cell of a matrix product.
+        full = len(features) <= 16_384 and work.sum() > 0.005 * len(lids) * len(rids) * len(features)
         if full:
             work[:] = 0
         cost = np.cumsum(np.maximum(work, len(rids)))
@@ -375,8 +384,17 @@ def _located(pairs: DataFrame, lblocks: int, rblocks: int, kind: int) -> DataFra
 def unit_rows(rows: DataFrame) -> DataFrame:
     """Rows scaled to length one; a zero row stays zero, its cosine with anything is 0."""
     norms = rows.groupBy("id").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("_norm"))
-    scaled = F.coalesce(F.try_divide("weight", "_norm"), F.lit(0.0))
-    return rows.join(norms, "id").select("id", "feature", scaled.alias("weight"))
+    return _scaled(rows.join(norms, "id"), F.col("_norm"))
+
+
+def unit_short_rows(rows: DataFrame) -> DataFrame:
+    """As ``unit_rows`` in one pass, for ids with a bounded number of features (a vocabulary)."""
+    return _scaled(rows, F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy("id"))))
+
+
+def _scaled(rows: DataFrame, norm: Column) -> DataFrame:
+    scaled = F.coalesce(F.try_divide(F.col("weight"), norm), F.lit(0.0))
+    return rows.select("id", "feature", scaled.alias("weight"))
 
 
 def cosine_topk(rows: DataFrame, k: int, plan: BlockPlan = BlockPlan()) -> DataFrame:

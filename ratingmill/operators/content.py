@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ratingmill.functions import scalars as S
 from ratingmill.functions.stopwords import ENGLISH
-from ratingmill.operators.blocked import BlockPlan, blocked_topk, cosine_topk, unit_rows
+from ratingmill.operators.blocked import BlockPlan, blocked_topk, cosine_topk, unit_short_rows
 from ratingmill.operators.cleaning import search_titles
 from ratingmill.operators.neighbours import seen_pairs
 from ratingmill.operators.text import tfidf
@@ -28,7 +28,9 @@ def combined_text(movies: DataFrame, metadata: DataFrame) -> DataFrame:
     def spaced(name: str):
         return F.translate(F.coalesce(name, F.lit("")), "|", " ")
 
-    joined = movies.join(metadata.select("movieId", "overview", "cast"), "movieId", "left")
+    # Shuffled, never broadcast: the texts are the large side, and the work on them is spread.
+    texts = metadata.select("movieId", "overview", "cast").hint("merge")
+    joined = movies.join(texts, "movieId", "left")
     text = F.concat_ws(" ", F.coalesce("overview", F.lit("")), spaced("genres"), spaced("cast"))
     return joined.select(F.col("movieId").alias("id"), text.alias("text"))
 
@@ -79,7 +81,8 @@ def numbered_features(features: DataFrame) -> DataFrame:
 def user_profiles(train: DataFrame, features: DataFrame) -> DataFrame:
     """Rating-weighted mean of the features of a user's movies: ``(id, feature, weight)``.
 
-    The rating total runs over the movies that have features.
+    The rating total runs over the movies that have features. A profile has at most as many rows
+    as there are features, whatever the number of ratings.
     """
     known = features.select("id").distinct()
     rated = train.select("userId", F.col("movieId").alias("id"), "rating").join(known, "id", "left_semi")
@@ -109,7 +112,7 @@ def similar_to_title(movies: DataFrame, features: DataFrame, pattern: str, n: in
 
     Only the matched movie's row of the similarity matrix is formed.
     """
-    unit = stage(unit_rows(features), "unit")
+    unit = stage(unit_short_rows(features), "unit")
     wanted = search_titles(movies, pattern, 1).select(F.col("movieId").alias("id"))
     mine = unit.join(wanted, "id", "left_semi").select("feature", F.col("weight").alias("_mine"))
     scores = (
@@ -134,8 +137,8 @@ def content_based(
 ) -> DataFrame:
     """Top-n unseen movies per user by cosine between profile and features."""
     mine = train.join(users.select("userId"), "userId", "left_semi")
-    profiles = stage(unit_rows(stage(user_profiles(mine, features), "profiles")), "unit_profiles")
-    items = stage(unit_rows(features), "unit_items")
+    profiles = stage(unit_short_rows(user_profiles(mine, features)), "unit_profiles")
+    items = stage(unit_short_rows(features), "unit_items")
     found = blocked_topk(profiles, items, top_n, skip=seen_pairs(mine), plan=plan)
     return found.select(
         F.col("left_id").alias("userId"),
@@ -148,8 +151,8 @@ def content_based(
 
 def content_scores(pairs: DataFrame, profiles: DataFrame, features: DataFrame) -> DataFrame:
     """Content score of given (userId, movieId) pairs, 2.5 where either side is unknown."""
-    items = unit_rows(features).select(F.col("id").alias("movieId"), "feature", F.col("weight").alias("_item"))
-    users = unit_rows(profiles).select(F.col("id").alias("userId"), "feature", F.col("weight").alias("_user"))
+    items = unit_short_rows(features).select(F.col("id").alias("movieId"), "feature", F.col("weight").alias("_item"))
+    users = unit_short_rows(profiles).select(F.col("id").alias("userId"), "feature", F.col("weight").alias("_user"))
     known = (
         pairs.select("userId", "movieId")
         .join(items.select("movieId").distinct(), "movieId", "left_semi")

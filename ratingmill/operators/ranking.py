@@ -46,13 +46,15 @@ def with_group_rank(
     hot_rows: int = DEFAULTS.hot_group_rows,
     rank: str = "rank",
     count: str = "count",
+    bound: DataFrame | None = None,
 ) -> DataFrame:
     """Rank inside a group by a total order, and the size of the group, on every row.
 
     Groups up to ``hot_rows`` rows use one window. A larger group would be one long task, so its
-    rows are ranked by their position in a range-partitioned sort instead.
+    rows are ranked by their position in a range-partitioned sort instead. ``bound`` may hold a
+    table that has at least as many rows per group and is cheaper to count than ``df``.
     """
-    sizes = df.groupBy(group).agg(F.count("*").alias("_n"))
+    sizes = (df if bound is None else bound).groupBy(group).agg(F.count("*").alias("_n"))
     hot = sizes.filter(F.col("_n") > hot_rows).select(group)
     window = Window.partitionBy(group)
 
@@ -63,7 +65,7 @@ def with_group_rank(
 
     if hot.isEmpty():
         return by_window(df)
-    hot = stage(hot, "hot")
+    hot, df = stage(hot, "hot"), stage(df, "grouped")
     placed = with_position(df.join(hot, group, "left_semi"), [group, *order], "_pos")
     starts = placed.groupBy(group).agg(F.min("_pos").alias("_start"), F.count("*").alias(count))
     hot_ranked = placed.join(starts, group).select(

@@ -14,9 +14,10 @@ def split_per_user(
     train_parts: int = DEFAULTS.train_parts,
     all_parts: int = DEFAULTS.all_parts,
     hot_rows: int = DEFAULTS.hot_group_rows,
+    bound: DataFrame | None = None,
 ) -> DataFrame:
     """The oldest share of every user's ratings is training data; adds ``is_train``."""
-    ranked = with_group_rank(ratings, "userId", ["timestamp", "movieId"], hot_rows)
+    ranked = with_group_rank(ratings, "userId", ["timestamp", "movieId"], hot_rows, bound=bound)
     inside = F.col("rank") * all_parts <= F.col("count") * train_parts
     return ranked.withColumn("is_train", inside).drop("rank", "count")
 

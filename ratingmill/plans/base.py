@@ -36,15 +36,25 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Runner],
 # --- shared inputs -------------------------------------------------------------------------
 
 
+def lazy_split(spark: SparkSession, folder: str) -> DataFrame:
+    """Ratings with ``is_train``; order lines bound the ratings of a user from above."""
+    rows = T.rating_rows(spark, folder).select("userId")
+    return splitting.split_per_user(T.ratings(spark, folder), bound=rows)
+
+
 def split_of(spark: SparkSession, folder: str) -> DataFrame:
-    """Ratings with ``is_train``, written once because most queries read both parts."""
-    return stage(splitting.split_per_user(stage(T.ratings(spark, folder), "ratings")), "split")
+    """The split written once, for queries that read it several times."""
+    return stage(lazy_split(spark, folder), "split")
 
 
 def train_of(spark: SparkSession, folder: str) -> DataFrame:
     return splitting.train_rows(split_of(spark, folder))
 
 
+def lazy_train(spark: SparkSession, folder: str) -> DataFrame:
+    return splitting.train_rows(lazy_split(spark, folder))
+
+
 def centred_of(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Centred training ratings and the test users."""
     split = split_of(spark, folder)
@@ -55,6 +65,12 @@ def star_of(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return build_warehouse(split_of(spark, folder), T.movies(spark, folder), T.links(spark, folder), T.metadata(spark, folder))
 
 
+def cube_of(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The star schema for one cube query, nothing written: Spark drops what the query leaves out."""
+    split = lazy_split(spark, folder)
+    return build_warehouse(split, T.movies(spark, folder), T.links(spark, folder), T.metadata(spark, folder))
+
+
 # --- SQL building blocks -------------------------------------------------------------------
 
 _STOPS = ", ".join(f"'{w}'" for w in ENGLISH)

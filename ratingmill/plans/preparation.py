@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ratingmill.functions import scalars as S
 from ratingmill.operators import cleaning, olap, quality, splitting, warehouse
-from ratingmill.plans.base import query, split_of, sql, star_of, train_of
+from ratingmill.plans.base import cube_of, lazy_split, lazy_train, query, split_of, sql, star_of
 from ratingmill.session import fresh_path, stage
 from ratingmill.sources import readers, schemas, sinks
 from ratingmill.sources import tables as T
@@ -275,7 +275,7 @@ def title_search(spark, folder):
 
 @query(sql('SELECT userId, movieId, rating, ts AS "timestamp", is_train FROM split', "split"))
 def split_per_user(spark, folder):
-    return splitting.split_per_user(stage(T.ratings(spark, folder), "ratings"))
+    return lazy_split(spark, folder)
 
 
 @query(
@@ -304,7 +304,7 @@ def mean_centred(spark, folder):
 
 @query(sql("SELECT * FROM dim_user", "dim_user"))
 def dim_user(spark, folder):
-    return warehouse.dim_user(split_of(spark, folder)).drop("user_index")
+    return warehouse.dim_user(lazy_split(spark, folder)).drop("user_index")
 
 
 @query(
@@ -316,7 +316,7 @@ def dim_user(spark, folder):
     )
 )
 def dim_user_train_scope(spark, folder):
-    return warehouse.dim_user(split_of(spark, folder), scope="train").drop("user_index")
+    return warehouse.dim_user(lazy_split(spark, folder), scope="train").drop("user_index")
 
 
 @query(sql("SELECT * FROM dim_movie", "dim_movie"))
@@ -348,7 +348,7 @@ def fact_rating(spark, folder):
 
 @query(sql("SELECT count(*) AS row_count, count(*) - count(rating) AS null_ratings FROM train", "train"))
 def train_contract(spark, folder):
-    return quality.train_contract(train_of(spark, folder))
+    return quality.train_contract(lazy_train(spark, folder))
 
 
 @query(
@@ -374,17 +374,17 @@ _DECADES = ("1970s", "1980s", "1990s", "2000s", "2010s", "Unknown")
 
 @query(sql(_ROLLUP, "fact_rating", "dim_movie"))
 def olap_rollup(spark, folder):
-    return olap.rollup(star_of(spark, folder))
+    return olap.rollup(cube_of(spark, folder))
 
 
 @query(sql("SELECT round(avg(rating), 2) AS avg_rating FROM fact_rating", "fact_rating"))
 def olap_overall_average(spark, folder):
-    return olap.overall_average(star_of(spark, folder))
+    return olap.overall_average(cube_of(spark, folder))
 
 
 @query(sql("SELECT round(avg(rating), 2) AS avg_rating FROM fact_rating JOIN dim_movie USING (movie_id) WHERE primary_genre = 'PROMO'", "fact_rating", "dim_movie"))
 def olap_genre_average(spark, folder):
-    return olap.genre_average(star_of(spark, folder), "PROMO")
+    return olap.genre_average(cube_of(spark, folder), "PROMO")
 
 
 @query(
@@ -396,7 +396,7 @@ def olap_genre_average(spark, folder):
     )
 )
 def olap_drilldown(spark, folder):
-    return olap.drilldown(star_of(spark, folder), "PROMO")
+    return olap.drilldown(cube_of(spark, folder), "PROMO")
 
 
 @query(
@@ -408,7 +408,7 @@ def olap_drilldown(spark, folder):
     )
 )
 def olap_slice(spark, folder):
-    return olap.slice_genre(star_of(spark, folder), "SMALL")
+    return olap.slice_genre(cube_of(spark, folder), "SMALL")
 
 
 @query(
@@ -421,7 +421,7 @@ def olap_slice(spark, folder):
     )
 )
 def olap_dice(spark, folder):
-    return olap.dice(star_of(spark, folder), ["SMALL", "PROMO"])
+    return olap.dice(cube_of(spark, folder), ["SMALL", "PROMO"])
 
 
 @query(
@@ -431,4 +431,4 @@ def olap_dice(spark, folder):
     + " FROM r GROUP BY primary_genre"
 )
 def olap_pivot(spark, folder):
-    return olap.pivot(olap.rollup(star_of(spark, folder)), _DECADES)
+    return olap.pivot(olap.rollup(cube_of(spark, folder)), _DECADES)

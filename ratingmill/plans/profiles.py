@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ratingmill.functions import scalars as S
 from ratingmill.operators import profile, warehouse
-from ratingmill.plans.base import query, sql, train_of
+from ratingmill.plans.base import lazy_train, query, sql, train_of
 from ratingmill.session import stage
 from ratingmill.sources import tables as T
 
@@ -28,7 +28,7 @@ def ratings_per_movie(spark, folder):
     )
 )
 def user_behaviour(spark, folder):
-    return profile.user_behaviour(train_of(spark, folder)).withColumn("std_rating", S.rounded(F.col("std_rating")))
+    return profile.user_behaviour(lazy_train(spark, folder)).withColumn("std_rating", S.rounded(F.col("std_rating")))
 
 
 @query(
@@ -167,7 +167,7 @@ def null_overview(spark, folder):
     )
 )
 def long_tail(spark, folder):
-    return profile.long_tail(train_of(spark, folder), T.movies(spark, folder))
+    return profile.long_tail(lazy_train(spark, folder), T.movies(spark, folder))
 
 
 _GENRES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD", "Unknown")
@@ -207,7 +207,7 @@ edges AS (SELECT * FROM pairs WHERE weight >= (SELECT quantile_cont(weight, 0.85
 
 
 def _pairs(spark, folder):
-    return profile.genre_cooccurrence(train_of(spark, folder), _dim_movie(spark, folder))
+    return profile.genre_cooccurrence(lazy_train(spark, folder), _dim_movie(spark, folder))
 
 
 @query(sql("", "train", "dim_movie").rstrip() + ",\n" + _PAIRS + "SELECT * FROM pairs")

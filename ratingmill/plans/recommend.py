@@ -18,7 +18,7 @@ from ratingmill.operators import (
     splitting,
     text,
 )
-from ratingmill.plans.base import centred_of, query, rule_sql, split_of, sql, train_of
+from ratingmill.plans.base import centred_of, lazy_train, query, rule_sql, split_of, sql, train_of
 from ratingmill.session import fresh_path, stage
 from ratingmill.sources import sinks
 from ratingmill.sources import tables as T
@@ -51,7 +51,7 @@ def _order_baskets(spark, folder):
     )
 )
 def genre_baskets(spark, folder):
-    baskets = rules.build_baskets(train_of(spark, folder), T.movies(spark, folder))
+    baskets = rules.build_baskets(lazy_train(spark, folder), T.movies(spark, folder))
     return baskets.select("userId", F.array_join("basket", ", ").alias("basket"))
 
 
@@ -68,7 +68,7 @@ def order_rules(spark, folder):
 
 @query(rule_sql(_USER_MASKS, _RULES_TAIL, "train", "type_movies"))
 def user_rules(spark, folder):
-    baskets = stage(rules.build_baskets(train_of(spark, folder), T.type_movies(spark, folder)), "baskets")
+    baskets = stage(rules.build_baskets(lazy_train(spark, folder), T.type_movies(spark, folder)), "baskets")
     return _shown(rules.mine_rules(baskets))
 
 
@@ -83,7 +83,7 @@ def _segment_sql(name: str, bound: str) -> str:
     f"SELECT * FROM ({_segment_sql('Low-Rater Profile', 'm <= 2.5')})"
 )
 def segmented_rules(spark, folder):
-    train = stage(train_of(spark, folder), "train")
+    train = train_of(spark, folder)
     found = rules.segmented_rules(
         train, T.type_movies(spark, folder), profile.user_behaviour(train), high_mean=3.0, low_mean=2.5
     )
@@ -120,7 +120,7 @@ _FAVOURITES = """SELECT userId, genre, likes FROM (
 
 @query(sql(_FAVOURITES.format(genres="movie_genres"), "train", "movie_genres"))
 def favourite_genre(spark, folder):
-    return rules.favourite_genre(train_of(spark, folder), T.movies(spark, folder))
+    return rules.favourite_genre(lazy_train(spark, folder), T.movies(spark, folder))
 
 
 @query(
@@ -130,7 +130,7 @@ def favourite_genre(spark, folder):
     )
 )
 def liked_items_per_user(spark, folder):
-    return train_of(spark, folder).filter("rating >= 3.5").select("userId", "movieId").distinct()
+    return lazy_train(spark, folder).filter("rating >= 3.5").select("userId", "movieId").distinct()
 
 
 # --- neighbours ----------------------------------------------------------------------------
