@@ -14,7 +14,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ratingmill.plans import all_queries  # noqa: E402
-from ratingmill.session import build_session  # noqa: E402
+from ratingmill.session import build_session, clear_staged  # noqa: E402
 
 HEADLINE = (
     "olap_rollup",
@@ -66,6 +66,7 @@ def main() -> None:
         registry[name].run(spark, folder).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
         print(name, seconds[name], file=sys.stderr, flush=True)
+        clear_staged(spark)
     spark.stop()
     total = round(sum(seconds.values()), 3)
     print(

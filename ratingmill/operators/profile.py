@@ -73,21 +73,15 @@ def sparsity(ratings: DataFrame) -> DataFrame:
 
 
 def histogram(values: DataFrame, column: str, bins: int) -> DataFrame:
-    """Equal-width bins between minimum and maximum; the top edge is in the last bin.
-
-    The bounds are one aggregate row that every task receives.
-    """
-    bounds = values.agg(F.min(column).cast("double").alias("_low"), F.max(column).cast("double").alias("_high"))
-    width = (F.col("_high") - F.col("_low")) / bins
-    index = F.floor(F.try_divide(F.col(column) - F.col("_low"), width))
-    bin_ = F.coalesce(F.least(index, F.lit(bins - 1)), F.lit(0)) + 1
-    return (
-        values.select(column)
-        .join(F.broadcast(bounds))
-        .select(bin_.cast("int").alias("bin"), "_low", width.alias("_width"))
-        .groupBy("bin", (F.col("_low") + (F.col("bin") - 1) * F.col("_width")).alias("bin_start"))
-        .agg(F.count("*").alias("frequency"))
-    )
+    """Equal-width bins between minimum and maximum; the top edge is in the last bin."""
+    low, high = values.agg(F.min(column).cast("double"), F.max(column).cast("double")).first()
+    if low is None:
+        return values.sparkSession.createDataFrame([], "bin int, bin_start double, frequency bigint")
+    width = (high - low) / bins
+    index = F.floor((F.col(column) - F.lit(low)) / F.lit(width)) if width else F.lit(0)
+    bin_ = (F.least(index, F.lit(bins - 1)) + 1).cast("int").alias("bin")
+    counts = values.filter(F.col(column).isNotNull()).groupBy(bin_).agg(F.count("*").alias("frequency"))
+    return counts.select("bin", (F.lit(low) + (F.col("bin") - 1) * F.lit(width)).alias("bin_start"), "frequency")
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -185,9 +179,8 @@ def genre_cooccurrence(
 
 def strong_edges(pairs: DataFrame, share: float = 0.85) -> DataFrame:
     """Pairs whose weight reaches the given percentile of all weights."""
-    cut = percentile(pairs, "weight", share, "_cut")
-    # The right side is one aggregate row.
-    return pairs.join(F.broadcast(cut), F.col("weight") >= F.col("_cut")).drop("_cut")
+    cut = percentile(pairs, "weight", share, "cut").first()["cut"]
+    return pairs.filter(F.col("weight") >= F.lit(cut))
 
 
 def degree_centrality(edges: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import math
 import sys
 import time
 
-from ratingmill.session import build_session
+from ratingmill.session import build_session, clear_staged
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -55,6 +55,7 @@ def main(folder: str, only: list[str]) -> int:
             df = q.run(spark, folder)
             got = df.collect()
             took = time.time() - start
+            clear_staged(spark)
             if q.sql is None:
                 print(f"rows {name}: {len(got)} rows, {took:.1f} s", flush=True)
                 continue

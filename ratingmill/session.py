@@ -45,8 +45,18 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_DIRS[app]
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/ratingmill/{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/ratingmill/{uuid.uuid4().hex}/{label}"
+    return f"{_own_folder(spark)}/{uuid.uuid4().hex}/{label}"
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete what this application has staged; call it once the results are written."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

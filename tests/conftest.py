@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from ratingmill.session import build_session  # noqa: E402
+from ratingmill.session import build_session, clear_staged  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -21,4 +21,5 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_staged(session)
     session.stop()
