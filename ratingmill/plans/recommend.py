@@ -360,7 +360,7 @@ def best_alpha(spark, folder):
 
 @query()
 def alpha_sweep_factors(spark, folder):
-    """As the reference tunes: factor model against content on a fixed sample of test rows."""
+    """Factor model against content on a fixed sample of test rows; the sample is the feature."""
     split = split_of(spark, folder)
     train, features = splitting.train_rows(split), _features(spark, folder)
     sample = stage(hybrid.tuning_sample(splitting.test_rows(split)), "sample")
