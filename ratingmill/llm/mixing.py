@@ -24,7 +24,7 @@ from ratingmill.session import stage
 
 WEIGHTS = (5.0, 2.0, 1.0)
 CAP = 3
-RANGE_ROWS = 50_000
+RANGE_ROWS = 8_000
 _KEY_RANGE = 1 << 40
 
 

@@ -9,8 +9,9 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ratingmill.llm import exact_dedup, mixing
+from ratingmill.llm import decontamination, exact_dedup, line_dedup, mixing, near_dedup, toxicity
 
 Runner = Callable[[SparkSession, str], DataFrame]
 
@@ -72,3 +73,53 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 )
 def op6_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
+
+
+@query(
+    r"""WITH items AS (
+        SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+        FROM benchmark),
+    texts AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+        FROM documents),
+    wanted AS (
+        SELECT DISTINCT item_id, least(5, len(ws)) AS width, array_to_string(ws[i : i + least(5, len(ws)) - 1], ' ') AS s
+        FROM (SELECT item_id, ws, unnest(range(1, len(ws) - least(5, len(ws)) + 2)) AS i FROM items WHERE len(ws) > 0)),
+    held AS (
+        SELECT DISTINCT doc_id, width, array_to_string(ws[i : i + width - 1], ' ') AS s
+        FROM (SELECT doc_id, ws, width, unnest(range(1, len(ws) - width + 2)) AS i FROM texts, (SELECT DISTINCT width FROM wanted))),
+    n AS (SELECT item_id, count(*) AS item_shingles FROM wanted GROUP BY item_id),
+    shared AS (SELECT item_id, doc_id, count(*) AS shared FROM wanted JOIN held USING (width, s) GROUP BY item_id, doc_id)
+    SELECT item_id, doc_id, item_shingles, shared, shared / item_shingles AS containment
+    FROM shared JOIN n USING (item_id) WHERE shared * 100 >= 80 * item_shingles"""
+)
+def op5_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query()
+def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_dedup(table(spark, folder, "documents"))
+
+
+@query()
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    scored = toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+@query(
+    r"""WITH l AS (
+        SELECT doc_id, i, line, lower_ascii AS k FROM (
+            SELECT doc_id, i, line, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_ascii
+            FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents))),
+    f AS (SELECT k, min(doc_id) AS first_doc, count(DISTINCT doc_id) AS docs FROM l WHERE length(k) >= 10 GROUP BY k),
+    m AS (SELECT doc_id, i, line, coalesce(docs >= 2 AND doc_id <> first_doc, false) AS gone FROM l LEFT JOIN f USING (k))
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+    FROM m GROUP BY doc_id"""
+)
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = line_dedup.line_dedup(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
