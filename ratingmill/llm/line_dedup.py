@@ -132,7 +132,7 @@ def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packed = []
         for lines in batch.column("lines"):
             at = np.asarray(lines.values)
-            keep = np.ones(at.max() + 1, bool)
+            keep = np.ones((at.max() // 8 + 1) * 8, bool)
             keep[at] = False
             packed.append(zlib.compress(np.packbits(keep).tobytes()))
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_id"), pa.array(packed, pa.binary())], ["doc_id", "text_id", "keep"])
