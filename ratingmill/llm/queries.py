@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingmill.llm import decontamination, exact_dedup, line_dedup, mixing, near_dedup, suffix_dedup, toxicity
+from ratingmill.llm import decontamination, exact_dedup, line_dedup, lm_mixing, mixing, near_dedup, suffix_dedup, toxicity
 
 Runner = Callable[[SparkSession, str], DataFrame]
 
@@ -129,3 +129,8 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op10_repeat_removal(spark: SparkSession, folder: str) -> DataFrame:
     kept = suffix_dedup.remove_repeats(table(spark, folder, "documents"))
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op2_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_mixing.score(table(spark, folder, "documents"))
