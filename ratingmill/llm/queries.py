@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingmill.llm import decontamination, exact_dedup, line_dedup, lm_mixing, mixing, near_dedup, suffix_dedup, toxicity
+from ratingmill.llm import decontamination, exact_dedup, licenses, line_dedup, lm_mixing, mixing, near_dedup, suffix_dedup, tool_calls, toxicity
 
 Runner = Callable[[SparkSession, str], DataFrame]
 
@@ -134,3 +134,44 @@ def op10_repeat_removal(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op2_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
     return lm_mixing.score(table(spark, folder, "documents"))
+
+
+_SENTENCE_ROWS = ", ".join(f"('{n}', '{w}')" for n, w in licenses.known_pieces(licenses.SENTENCES))
+_RULE_ROWS = ", ".join(f"('{first}', '{name}', '{ids}')" for first, name, ids in licenses.rule_rows(licenses.SENTENCES, licenses.RULES))
+
+
+@query(
+    rf"""WITH catalogue(sentence, norm) AS (VALUES {_SENTENCE_ROWS}),
+    rules(sentence, license, ids) AS (VALUES {_RULE_ROWS}),
+    cuts AS (
+        SELECT doc_id, 0 AS cut, coalesce(text, '') AS t FROM documents
+        UNION ALL
+        SELECT doc_id, 1, replace(replace(regexp_replace(coalesce(text, ''), '\n[ \t\r]*\n\s*', chr(1), 'g'), chr(10), ' '), chr(1), chr(10)) FROM documents),
+    pieces AS (SELECT doc_id, cut, string_split(regexp_replace(t, '([.!?;:])[ \t]+', '\1' || chr(10), 'g'), chr(10)) AS p FROM cuts),
+    parts AS (SELECT doc_id, cut, unnest(p) AS part, generate_subscripts(p, 1) - 1 AS pos FROM pieces),
+    known AS (
+        SELECT DISTINCT doc_id, cut, pos, sentence FROM (
+            SELECT doc_id, cut, pos, trim(regexp_replace(translate(part, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g')) AS norm FROM parts)
+        JOIN catalogue USING (norm)),
+    seqs AS (SELECT doc_id, cut, '|' || string_agg(sentence, '|' ORDER BY pos, sentence) || '|' AS text_ids, count(*) AS n FROM known GROUP BY doc_id, cut)
+    SELECT doc_id, license, max(n) AS n_known, min(pos) AS first_pos
+    FROM known JOIN seqs USING (doc_id, cut) JOIN rules USING (sentence) WHERE contains(text_ids, ids) GROUP BY doc_id, license"""
+)
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.licenses(table(spark, folder, "documents"))
+
+
+@query(
+    """WITH t AS (SELECT conv_id, turn, coalesce(role, 'user') AS role, text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+    calls AS (
+        SELECT conv_id || '-' || turn AS call_id, conv_id, turn, CASE WHEN role = 'system' THEN 'configure' ELSE 'reply' END AS name,
+            text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS depth
+        FROM t WHERE role <> 'assistant'),
+    results AS (SELECT conv_id || '-' || (turn - 1) AS call_id, text AS content FROM t WHERE role = 'assistant')
+    SELECT call_id, depth, name, 1::BIGINT AS n_calls, CASE WHEN r.call_id IS NULL THEN 0 ELSE 1 END::BIGINT AS n_results, true AS valid, '' AS errors,
+        '{"arguments":{"prompt":' || to_json(text) || ',"turn":' || turn || '},"id":' || to_json(call_id) || ',"name":' || to_json(name)
+        || CASE WHEN r.call_id IS NULL THEN '' ELSE ',"result":' || to_json(content) END || '}' AS message
+    FROM calls LEFT JOIN results r USING (call_id)"""
+)
+def op4_tool_links(spark: SparkSession, folder: str) -> DataFrame:
+    return tool_calls.link_calls(*tool_calls.turn_calls(table(spark, folder, "conversations")))
