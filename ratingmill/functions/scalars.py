@@ -36,7 +36,7 @@ def decade(year: Column, unknown: str = "Unknown") -> Column:
 
 def parse_list_text(text: Column) -> Column:
     """A list printed as ``['A', 'B']``, or a pipe-separated string, to an array."""
-    as_list = F.from_json(F.translate(text, "'", '"'), "array<string>")
+    as_list = F.from_json(text, "array<string>")  # takes single quotes as well
     listed = F.when(F.trim(text).startswith("["), as_list).otherwise(F.split(text, r"\|"))
     return F.coalesce(listed, F.array().cast("array<string>"))
 

@@ -397,10 +397,14 @@ def _scaled(rows: DataFrame, norm: Column) -> DataFrame:
     return rows.select("id", "feature", scaled.alias("weight"))
 
 
-def cosine_topk(rows: DataFrame, k: int, plan: BlockPlan = BlockPlan()) -> DataFrame:
-    """The ``k`` most similar other ids per id; pairs of similarity 0 are not returned."""
+def cosine_topk(rows: DataFrame, k: int, plan: BlockPlan = BlockPlan(), wanted: DataFrame | None = None) -> DataFrame:
+    """The ``k`` most similar other ids per id; pairs of similarity 0 are not returned.
+
+    ``wanted`` (id) restricts the left side before any product is formed.
+    """
     unit = stage(unit_rows(rows), "unit")
-    return blocked_topk(unit, unit, k, skip_self=True, plan=plan).filter("score <> 0")
+    left = unit if wanted is None else stage(unit.join(wanted, "id", "left_semi"), "wanted_unit")
+    return blocked_topk(left, unit, k, skip_self=True, plan=plan).filter("score <> 0")
 
 
 def cosine_matrix(rows: DataFrame, plan: BlockPlan = BlockPlan()) -> DataFrame:

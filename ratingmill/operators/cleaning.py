@@ -65,8 +65,10 @@ def drop_counts(before: DataFrame, after: DataFrame) -> DataFrame:
     return both.agg(removed("userId").alias("dropped_users"), removed("movieId").alias("dropped_movies"))
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    return top_per_group(df, keys, order, 1, "_rank").drop("_rank")
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str] = ()) -> DataFrame:
+    """One row per key, the first by ``order``; without one the greatest by all other columns."""
+    ranks = order or [F.desc_nulls_last(c) for c in df.columns if c not in keys]
+    return top_per_group(df, keys, ranks or list(keys), 1, "_rank").drop("_rank")
 
 
 def clean_movies(movies: DataFrame) -> DataFrame:
@@ -90,10 +92,12 @@ def fill_metadata(metadata: DataFrame) -> DataFrame:
 
 
 def raw_movies(movies: DataFrame, links: DataFrame, metadata: DataFrame) -> DataFrame:
-    """Movies with external id, release year and metadata, unmatched ones kept."""
+    """Movies with external id, release year and metadata, unmatched ones kept; repeated ids in the two others count once."""
+    known = first_per_key(links.select("movieId", "tmdbId"), ["movieId"])
+    described = first_per_key(metadata.select("movieId", "overview", "cast", "director"), ["movieId"])
     return (
-        movies.join(links.select("movieId", "tmdbId"), "movieId", "left")
-        .join(metadata.select("movieId", "overview", "cast", "director"), "movieId", "left")
+        movies.join(known, "movieId", "left")
+        .join(described, "movieId", "left")
         .select(
             "movieId",
             "tmdbId",

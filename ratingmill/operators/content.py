@@ -4,16 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.feature import PCA, StandardScaler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratingmill.functions import scalars as S
 from ratingmill.functions.stopwords import ENGLISH
 from ratingmill.operators.blocked import BlockPlan, blocked_topk, cosine_topk, unit_short_rows
-from ratingmill.operators.cleaning import search_titles
+from ratingmill.operators.cleaning import first_per_key, search_titles
 from ratingmill.operators.neighbours import seen_pairs
 from ratingmill.operators.text import tfidf
 from ratingmill.params import DEFAULTS
@@ -29,7 +27,7 @@ def combined_text(movies: DataFrame, metadata: DataFrame) -> DataFrame:
         return F.translate(F.coalesce(name, F.lit("")), "|", " ")
 
     # Shuffled, never broadcast: the texts are the large side, and the work on them is spread.
-    texts = metadata.select("movieId", "overview", "cast").hint("merge")
+    texts = first_per_key(metadata.select("movieId", "overview", "cast"), ["movieId"]).hint("merge")
     joined = movies.join(texts, "movieId", "left")
     text = F.concat_ws(" ", F.coalesce("overview", F.lit("")), spaced("genres"), spaced("cast"))
     return joined.select(F.col("movieId").alias("id"), text.alias("text"))
@@ -183,25 +181,21 @@ def principal_components(vectors: DataFrame, k: int = 2, column: str = "features
     return model.transform(rows).drop("_centred"), model.explainedVariance
 
 
-def dense_sample(features: DataFrame, items: int = 1000) -> DataFrame:
-    """Dense feature rows of the first movies; the sample size is the operator's purpose."""
-    chosen = features.select("id").distinct().orderBy("id").limit(items)
+def dense_features(features: DataFrame, items: int | None = None) -> DataFrame:
+    """Dense feature rows of all movies, or of the first ``items`` ids if the caller asks for so few."""
     width = features.agg(F.max("feature")).first()[0] or 0
-    # A row holds at most one entry per feature.
-    packed = (
-        features.join(F.broadcast(chosen), "id")
-        .groupBy("id")
-        .agg(F.collect_list(F.struct("feature", "weight")).alias("_entries"))
-        .select("id", F.col("_entries.feature").alias("_at"), F.col("_entries.weight").alias("_value"))
-    )
-
-    @F.pandas_udf("array<double>")
-    def scatter(at: pd.Series, value: pd.Series) -> pd.Series:
-        rows = []
-        for positions, weights in zip(at, value):
-            row = np.zeros(width)
-            row[positions - 1] = weights
-            rows.append(row)
-        return pd.Series(rows)
-
-    return packed.select(F.col("id").alias("movieId"), scatter("_at", "_value").alias("features"))
+    if items is not None:
+        chosen = features.select("id").distinct().orderBy("id").limit(items)
+        features = features.join(chosen, "id", "left_semi")
+    # A row holds at most one entry per feature; zeros fill the gap before each entry and the rest of the row.
+    entries = F.array_sort(F.collect_list(F.struct("feature", "weight")))
+    held = features.groupBy("id").agg(entries.alias("_held"))
+    zeros = lambda n: F.array_repeat(F.lit(0.0), n.cast("int"))
+
+    def filled(entry: Column, i: Column) -> Column:
+        before = F.coalesce(F.get(F.col("_held.feature"), i - 1), F.lit(0))
+        return F.concat(zeros(entry["feature"] - before - 1), F.array(entry["weight"]))
+
+    tail = zeros(F.lit(width) - F.element_at("_held.feature", -1))
+    dense = F.concat(F.flatten(F.transform("_held", filled)), tail)
+    return held.select(F.col("id").alias("movieId"), dense.alias("features"))

@@ -58,12 +58,16 @@ def index_ids(df: DataFrame, column: str) -> DataFrame:
     return placed.select(column, (F.col("_pos") - 1).cast("int").alias(f"{column}_index"))
 
 
+BLOCK_RATINGS = 2_000_000
+
+
 class _FactorParams(Params):
     rank = Param(Params._dummy(), "rank", "number of factors", TypeConverters.toInt)
     maxIter = Param(Params._dummy(), "maxIter", "ALS iterations", TypeConverters.toInt)
     regParam = Param(Params._dummy(), "regParam", "regularisation", TypeConverters.toFloat)
     damping = Param(Params._dummy(), "damping", "pseudo-count of the biases", TypeConverters.toFloat)
     seed = Param(Params._dummy(), "seed", "random seed", TypeConverters.toInt)
+    blocks = Param(Params._dummy(), "blocks", "ALS blocks per side; 0: one per BLOCK_RATINGS ratings, 10 at least", TypeConverters.toInt)
 
 
 class BiasedFactors(Estimator, _FactorParams):
@@ -71,10 +75,10 @@ class BiasedFactors(Estimator, _FactorParams):
 
     @keyword_only
     def __init__(
-        self, *, rank: int = 100, maxIter: int = 20, regParam: float = 0.1, damping: float = 5.0, seed: int = 42
+        self, *, rank: int = 100, maxIter: int = 20, regParam: float = 0.1, damping: float = 5.0, seed: int = 42, blocks: int = 0
     ):
         super().__init__()
-        self._setDefault(rank=100, maxIter=20, regParam=0.1, damping=5.0, seed=42)
+        self._setDefault(rank=100, maxIter=20, regParam=0.1, damping=5.0, seed=42, blocks=0)
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> FactorModel:
@@ -95,7 +99,10 @@ class BiasedFactors(Estimator, _FactorParams):
                 (F.col("rating") - F.lit(mean) - F.col("user_bias") - F.col("item_bias")).alias("rest"),
             )
         )
+        blocks = self.getOrDefault(self.blocks) or max(10, -(-train.count() // BLOCK_RATINGS))
         als = ALS(
+            numUserBlocks=blocks,
+            numItemBlocks=blocks,
             userCol="userId_index",
             itemCol="movieId_index",
             ratingCol="rest",
@@ -105,10 +112,9 @@ class BiasedFactors(Estimator, _FactorParams):
             seed=self.getOrDefault(self.seed),
             coldStartStrategy="nan",
         )
-        # ALS blocks rows by hash and its start values by partition order: a sorted, fixed
-        # partitioning makes the same seed give the same factors.
-        blocks = max(1, dataset.sparkSession.sparkContext.defaultParallelism)
-        fixed = rest.repartition(blocks, "userId_index").sortWithinPartitions("userId_index", "movieId_index")
+        # ALS blocks rows by hash and its start values by partition order: a sorted partitioning into as many parts on any
+        # cluster makes the same seed give the same factors. Both ids are hashed, so a hot user is spread.
+        fixed = rest.repartition(blocks, "userId_index", "movieId_index").sortWithinPartitions("userId_index", "movieId_index")
         return FactorModel(mean, users, items, als.fit(fixed))
 
 
@@ -159,7 +165,7 @@ class FactorModel(Model):
         wanted = users.select(F.col("userId").alias("id"))
         left = stage(self.user_vectors().join(wanted, "id", "left_semi"), "user_vectors")
         right = stage(self.item_vectors(), "item_vectors")
-        found = blocked_topk(left, right, top_n, skip=seen_pairs(train), plan=plan)
+        found = blocked_topk(left, right, top_n, skip=seen_pairs(train, users), plan=plan)
         return found.select(
             F.col("left_id").alias("userId"),
             "rank",

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratingmill.functions import scalars as S
+from ratingmill.operators.ranking import with_position
 from ratingmill.operators.splitting import centre, train_rows, user_means
 
 TABLES = ("dim_user", "dim_movie", "dim_genre", "dim_time", "fact_rating")
@@ -31,15 +32,18 @@ def dim_user(split: DataFrame, scope: str = "all") -> DataFrame:
 
 
 def dim_movie(movies: DataFrame, links: DataFrame | None = None, metadata: DataFrame | None = None) -> DataFrame:
+    """One row per movie. Repeated ids in links or metadata count once (the greatest external id, the longest overview), and
+    as both are grouped by the id, Spark drops their joins where no column of theirs is read."""
     rows = movies
     if links is not None:
-        rows = rows.join(links.select("movieId", "tmdbId"), "movieId", "left")
+        rows = rows.join(links.groupBy("movieId").agg(F.max("tmdbId").alias("tmdbId")), "movieId", "left")
     else:
         rows = rows.withColumn("tmdbId", F.lit(None).cast("bigint"))
     if metadata is not None:
-        rows = rows.join(metadata.select("movieId", "overview"), "movieId", "left")
+        lengths = metadata.groupBy("movieId").agg(F.max(S.text_length(F.col("overview"))).alias("_length"))
+        rows = rows.join(lengths, "movieId", "left")
     else:
-        rows = rows.withColumn("overview", F.lit(None).cast("string"))
+        rows = rows.withColumn("_length", F.lit(None).cast("int"))
     year = S.release_year(F.col("title"))
     return rows.select(
         F.col("movieId").alias("movie_id"),
@@ -49,7 +53,7 @@ def dim_movie(movies: DataFrame, links: DataFrame | None = None, metadata: DataF
         S.decade(year).alias("decade"),
         S.primary_genre(F.col("genres")).alias("primary_genre"),
         F.col("genres").alias("all_genres"),
-        S.text_length(F.col("overview")).alias("overview_length"),
+        F.coalesce("_length", F.lit(0)).alias("overview_length"),
     )
 
 
@@ -75,12 +79,13 @@ def dim_time(ratings: DataFrame) -> DataFrame:
 def fact_rating(split: DataFrame, times: DataFrame, default_mean: float | None = 0.0) -> DataFrame:
     """One row per rating with its time key and the rating centred on the training mean.
 
-    ``fact_id`` is a hash of the natural key, so it is the same in every run and needs no counter.
+    ``fact_id`` is the position in the order of user, movie and time: unique, and the same in every run.
     """
-    rows = centre(split, user_means(train_rows(split)), default_mean)
+    placed = with_position(split, ["userId", "movieId", "timestamp"], "fact_id")
+    rows = centre(placed, user_means(train_rows(split)), default_mean)
     dated = rows.withColumn("full_date", S.epoch_date(F.col("timestamp")))
     return dated.join(times.select("time_id", "full_date"), "full_date", "left").select(
-        F.xxhash64("userId", "movieId", "timestamp").alias("fact_id"),
+        "fact_id",
         F.col("userId").alias("user_id"),
         F.col("movieId").alias("movie_id"),
         "time_id",
@@ -90,6 +95,18 @@ def fact_rating(split: DataFrame, times: DataFrame, default_mean: float | None =
     )
 
 
+def build_cube(
+    ratings: DataFrame,
+    movies: DataFrame,
+    links: DataFrame | None = None,
+    metadata: DataFrame | None = None,
+) -> dict[str, DataFrame]:
+    """What cube queries read, straight from the ratings: no split, no surrogate keys; days are joined by date."""
+    day = S.epoch_date(F.col("timestamp"))
+    facts = ratings.select(F.col("userId").alias("user_id"), F.col("movieId").alias("movie_id"), day.alias("full_date"), "rating")
+    return {"rating": facts, "movie": dim_movie(movies, links, metadata), "user": dim_user(ratings)}
+
+
 def build_warehouse(
     split: DataFrame,
     movies: DataFrame,

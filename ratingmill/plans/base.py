@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ratingmill.functions.stopwords import ENGLISH
 from ratingmill.operators import neighbours, splitting
-from ratingmill.operators.warehouse import build_warehouse
+from ratingmill.operators.warehouse import build_cube, build_warehouse
 from ratingmill.session import stage
 from ratingmill.sources import tables as T
 
@@ -66,9 +66,8 @@ def star_of(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 def cube_of(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The star schema for one cube query, nothing written: Spark drops what the query leaves out."""
-    split = lazy_split(spark, folder)
-    return build_warehouse(split, T.movies(spark, folder), T.links(spark, folder), T.metadata(spark, folder))
+    """The tables of one cube query, nothing written: Spark drops what the query leaves out."""
+    return build_cube(T.ratings(spark, folder), T.movies(spark, folder), T.links(spark, folder), T.metadata(spark, folder))
 
 
 # --- SQL building blocks -------------------------------------------------------------------
@@ -149,7 +148,7 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
         ("ratings",),
     ),
     "fact_rating": (
-        """SELECT s.userId AS user_id, s.movieId AS movie_id, t.time_id, s.rating,
+        """SELECT row_number() OVER (ORDER BY s.userId, s.movieId, s.ts) AS fact_id, s.userId AS user_id, s.movieId AS movie_id, t.time_id, s.rating,
              s.rating - coalesce(m, 0) AS normalized_rating, s.is_train
            FROM split s LEFT JOIN means USING (userId)
              LEFT JOIN dim_time t ON t.full_date = DATE '1970-01-01' + CAST(s.ts // 86400 AS INTEGER)""",
@@ -220,10 +219,10 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
                  FROM (SELECT userId, movieId, coalesce(d, 0) AS d FROM unseen LEFT JOIN (
                          SELECT c.userId, k.i AS movieId,
                            round(coalesce(sum(k.s * c.r) / nullif(sum(CASE WHEN c.r <> 0 THEN abs(k.s) END), 0), 0), 6) + 0.0 AS d
-                         FROM (SELECT i, j, round(s, 9) AS s FROM item_sim WHERE round(s, 9) <> 0) k
+                         FROM item_near k
                          JOIN centred c ON c.movieId = k.j GROUP BY 1, 2) USING (userId, movieId)))
              JOIN means USING (userId) WHERE rk <= 10""",
-        ("item_sim", "centred", "means", "unseen"),
+        ("item_near", "centred", "means", "unseen"),
     ),
     # TF-IDF of the movies' texts.
     "movie_text": (

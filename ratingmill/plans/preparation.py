@@ -80,16 +80,18 @@ def warehouse_tables(spark, folder):
 
 @query(
     sql(
-        """SELECT movieId, title, genres FROM movies WHERE movieId % 3 = 0
+        """SELECT movieId, 'zz ' || title AS title, genres FROM movies WHERE movieId % 6 = 0
+           UNION ALL SELECT movieId, title, genres FROM movies WHERE movieId % 6 = 3
            UNION ALL SELECT movieId, 'old ' || title, genres FROM movies WHERE movieId % 3 = 1""",
         "movies",
     )
 )
 def upsert_by_key(spark, folder):
-    """Rows with known keys are replaced, others added."""
+    """Rows with known keys are replaced, others added; of two updates of a movie one counts."""
     movies = T.movies(spark, folder)
     target = movies.filter("movieId % 3 <> 2").withColumn("title", F.concat(F.lit("old "), "title"))
-    return sinks.upsert(target, movies.filter("movieId % 3 = 0"), ["movieId"])
+    again = movies.filter("movieId % 6 = 0").withColumn("title", F.concat(F.lit("zz "), "title"))
+    return sinks.upsert(target, movies.filter("movieId % 3 = 0").unionByName(again), ["movieId"])
 
 
 _PAYLOAD_SQL = """
@@ -170,7 +172,8 @@ def metadata_defaults(spark, folder):
 
 
 @query(
-    """SELECT o_orderkey, o_totalprice AS price, CAST(NULL AS DOUBLE) AS priority_number
+    """SELECT o_orderkey, o_totalprice AS price,
+         TRY_CAST(CASE WHEN o_orderkey % 3 = 0 THEN split_part(o_orderpriority, '-', 1) ELSE o_orderpriority END AS DOUBLE) AS priority_number
        FROM orders"""
 )
 def numeric_coercion(spark, folder):
@@ -180,7 +183,10 @@ def numeric_coercion(spark, folder):
     return printed.select(
         "o_orderkey",
         S.strip_commas(F.col("printed")).alias("price"),
-        F.col("o_orderpriority").try_cast("double").alias("priority_number"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.split_part("o_orderpriority", F.lit("-"), F.lit(1)))
+        .otherwise(F.col("o_orderpriority"))
+        .try_cast("double")
+        .alias("priority_number"),
     )
 
 
@@ -249,14 +255,15 @@ def cleaned_movies(spark, folder):
 
 @query(
     sql(
-        """SELECT movieId, genre FROM movie_genres""",
+        """SELECT movieId, CASE WHEN genre = 'PROMO' THEN 'PROMO''s "best"' ELSE genre END AS genre FROM movie_genres""",
         "movie_genres",
     )
 )
 def legacy_genre_lists(spark, folder):
-    """Genre lists printed as ``['A', 'B']`` parsed back to arrays."""
+    """Genre lists printed as ``['A', "B's"]`` parsed back to arrays."""
     movies = T.movies(spark, folder)
-    quoted = F.transform(F.split("genres", r"\|"), lambda g: F.concat(F.lit("'"), g, F.lit("'")))
+    odd = F.lit("\"PROMO's \\\"best\\\"\"")
+    quoted = F.transform(F.split("genres", r"\|"), lambda g: F.when(g == "PROMO", odd).otherwise(F.concat(F.lit("'"), g, F.lit("'"))))
     printed = movies.select("movieId", F.concat(F.lit("["), F.concat_ws(", ", quoted), F.lit("]")).alias("printed"))
     names = printed.select("movieId", F.explode(S.parse_list_text(F.col("printed"))).alias("genre"))
     return names.filter("genre <> ''")
@@ -343,7 +350,7 @@ def dim_time(spark, folder):
 @query(sql("SELECT * FROM fact_rating", "fact_rating"))
 def fact_rating(spark, folder):
     split = split_of(spark, folder)
-    return warehouse.fact_rating(split, warehouse.dim_time(split)).drop("fact_id")
+    return warehouse.fact_rating(split, warehouse.dim_time(split))
 
 
 @query(sql("SELECT count(*) AS row_count, count(*) - count(rating) AS null_ratings FROM train", "train"))

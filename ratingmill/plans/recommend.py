@@ -275,10 +275,18 @@ def principal_components(spark, folder):
     )
 
 
-@query()
-def dense_feature_sample(spark, folder):
-    rows = content.dense_sample(_features(spark, folder))
-    return rows.select("movieId", F.size("features").alias("width"), F.expr("aggregate(features, 0D, (a, x) -> a + x)").alias("total"))
+@query(
+    sql(
+        """SELECT id AS movieId, CAST((SELECT count(DISTINCT feature) FROM features) AS INTEGER) AS width,
+             round(sum(weight), 6) AS total FROM features GROUP BY id""",
+        "features",
+    )
+)
+def dense_feature_rows(spark, folder):
+    """One dense row per movie; its width and sum."""
+    rows = content.dense_features(_features(spark, folder))
+    total = F.expr("aggregate(features, 0D, (a, x) -> a + x)")
+    return rows.select("movieId", F.size("features").alias("width"), S.rounded(total).alias("total"))
 
 
 # --- factor model --------------------------------------------------------------------------
@@ -320,7 +328,7 @@ def factor_grid_search(spark, folder):
     return table
 
 
-@query()
+@query(sql("SELECT count(*) AS pairs, 0.0::DOUBLE AS largest_difference FROM test", "test"))
 def factor_model_store(spark, folder):
     """A saved and reloaded model predicts the same."""
     split = split_of(spark, folder)
@@ -358,41 +366,54 @@ def best_alpha(spark, folder):
     return hybrid.best_alpha(hybrid.alpha_sweep(_scored(spark, folder, split_of(spark, folder))))
 
 
+def _factor_scored(spark, folder, split, model):
+    """Content scores and factor estimates of all test pairs."""
+    return model.transform(_content_scores(spark, folder, split)).withColumnRenamed("prediction", "cf_score")
+
+
 @query()
 def alpha_sweep_factors(spark, folder):
-    """Factor model against content on a fixed sample of test rows; the sample is the feature."""
+    """Factor model against content over the whole test part."""
     split = split_of(spark, folder)
-    train, features = splitting.train_rows(split), _features(spark, folder)
-    sample = stage(hybrid.tuning_sample(splitting.test_rows(split)), "sample")
-    profiles = stage(content.user_profiles(train, features), "profiles")
-    model = factor.BiasedFactors(**_SMALL).fit(train)
-    scored = model.transform(content.content_scores(sample, profiles, features)).withColumnRenamed("prediction", "cf_score")
-    return hybrid.alpha_sweep(scored)
+    model = factor.BiasedFactors(**_SMALL).fit(splitting.train_rows(split))
+    return hybrid.alpha_sweep(_factor_scored(spark, folder, split, model))
 
 
 @query(
-    sql(
-        """SELECT userId, movieId, round(a * cf_score + (1 - a) * content_score, 6) AS hybrid_score, route
-           FROM (SELECT *, CASE WHEN n < 5 THEN 0.0 WHEN n <= 20 THEN 0.4 ELSE 0.7 END::DOUBLE AS a,
+    sql("SELECT userId, movieId, rating FROM test ORDER BY md5(userId || '-' || movieId), userId, movieId LIMIT 2000", "test")
+)
+def tuning_rows(spark, folder):
+    """The fixed sample for quick tuning; its size is the feature."""
+    return hybrid.tuning_sample(splitting.test_rows(split_of(spark, folder))).select("userId", "movieId", "rating")
+
+
+def _tuned(scored):
+    """The best weight of the sweep, one number."""
+    return hybrid.best_alpha(hybrid.alpha_sweep(scored)).first()["alpha"]
+
+
+@query(
+    sql("", "scored", "train").rstrip() + ",\n" + _SWEEP + """, tuned AS (SELECT alpha FROM sweep ORDER BY rmse, alpha LIMIT 1)
+SELECT userId, movieId, round(a * cf_score + (1 - a) * content_score, 6) AS hybrid_score, route
+           FROM (SELECT *, CASE WHEN n < 5 THEN 0.0 WHEN n <= 20 THEN 0.4 ELSE alpha END::DOUBLE AS a,
                    CASE WHEN n < 5 THEN 'Cold-Start (Pure CBF)' WHEN n <= 20 THEN 'Mild-Start (Heavy CBF)'
-                        ELSE 'Dense-Data (Alpha 0.7)' END AS route
-                 FROM (SELECT s.*, coalesce(n, 0) AS n FROM scored s LEFT JOIN (SELECT userId, count(*) AS n FROM train GROUP BY 1) USING (userId)))""",
-        "scored", "train",
-    )
+                        ELSE 'Dense-Data (Alpha ' || alpha || ')' END AS route
+                 FROM (SELECT s.*, coalesce(n, 0) AS n FROM scored s LEFT JOIN (SELECT userId, count(*) AS n FROM train GROUP BY 1) USING (userId)), tuned)"""
 )
 def routed_scores(spark, folder):
+    """Scores routed by the user's number of ratings, with the weight that the sweep finds best."""
     split = split_of(spark, folder)
     counts = profile.count_per(splitting.train_rows(split), "userId")
-    return hybrid.routed_scores(_scored(spark, folder, split), counts, 0.7).select(
-        "userId", "movieId", "hybrid_score", "route"
-    )
+    scored = stage(_scored(spark, folder, split), "scored")
+    return hybrid.routed_scores(scored, counts, _tuned(scored)).select("userId", "movieId", "hybrid_score", "route")
 
 
 def _hybrid(spark, folder, split):
     train = splitting.train_rows(split)
     model = factor.BiasedFactors(**_SMALL).fit(train)
     users = splitting.test_rows(split).select("userId").distinct()
-    return hybrid.hybrid_recommendations(model, train, users, _features(spark, folder), 0.7)
+    alpha = _tuned(_factor_scored(spark, folder, split, model))
+    return hybrid.hybrid_recommendations(model, train, users, _features(spark, folder), alpha)
 
 
 @query()

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+
+from ratingmill.operators.cleaning import first_per_key
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -30,7 +32,10 @@ def read_tables(spark: SparkSession, names: Sequence[str], folder: str) -> dict[
     return {name: spark.read.parquet(f"{folder}/{name}") for name in names}
 
 
-def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``updates`` replace target rows with the same key, new keys are added."""
+def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[Column | str] = ()) -> DataFrame:
+    """Rows of ``updates`` replace target rows with the same key, new keys are added.
+
+    Of updates that share a key the first by ``order`` counts; without one the greatest by all other columns.
+    """
     kept = target.join(updates.select(*keys), list(keys), "left_anti")
-    return updates.unionByName(kept)
+    return first_per_key(updates, keys, order).unionByName(kept)
