@@ -4,14 +4,15 @@ A suffix array of the whole corpus would sort a suffix per byte. Here only start
 
 1. Every window of ``match`` bytes has an anchor, the first of its smallest-hashed substrings of half that length; equal
    windows have equal anchors at equal offsets. Anchors whose substring hash occurs once in the corpus end here.
-2. The starts of a remaining anchor are cut into pieces of ``PIECE`` starts by their distance from it. All windows of a piece
-   share a core of ``match - PIECE + 1`` bytes. Pieces are counted by (core, whole piece): of equal pieces every start
+2. The starts of a remaining anchor are cut into pieces, a sixth of the window long, by their distance from it. All windows of
+   a piece share a core, five sixths of a window. Pieces are counted by (core, whole piece): of equal pieces every start
    has a partner, and one of them stands for all.
 3. Different pieces with one core are settled by their suffixes: deep-shallow sorting brings equal windows
    together. A core with more than ``HOT`` different pieces is too much for a task; its windows are counted by a
    128-bit hash instead, with a partial count before the shuffle.
 
-Matches never cross documents, overlaps count, and windows are judged on the input. Texts are UTF-8 bytes.
+Matches never cross documents, overlaps count, and windows are judged on the input. Texts are UTF-8 bytes. Texts are shuffled
+twice, to the remaining anchors and to the spans found, and travel compressed.
 
 Defined cases: null text is empty; texts shorter than ``match`` lose nothing; a row repeated whole is another occurrence, so
 its repeats match each other; an empty table gives an empty result; extra columns are not read.
@@ -19,6 +20,7 @@ its repeats match each other; an empty table gives an empty result; extra column
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,10 +34,15 @@ from ratingmill.llm.suffix_sort import suffix_order
 from ratingmill.session import stage
 
 MATCH = 400
-PIECE = 32
 HOT = 5000
 PACK_PIECES = 4000
 KEY = ["_id", "text_id"]
+_UNPACK_ROWS = 256
+_LOW = (1 << 32) - 1
+
+
+def piece_starts(match: int) -> int:
+    return match // 6 + 1
 
 
 def _sliding_least(x: np.ndarray, width: int) -> np.ndarray:
@@ -82,68 +89,81 @@ def _grams(match: int):
     return run
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        packed = pa.array([zlib.compress(t, 1) for t in batch.column("text").cast(pa.binary()).to_pylist()], pa.binary())
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in (*KEY, "doc_id")), packed], [*KEY, "doc_id", "packed"])
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Few rows at a time with their texts."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, _UNPACK_ROWS):
+            rows = batch.slice(low, _UNPACK_ROWS)
+            yield rows, [zlib.decompress(p) for p in rows.column("packed").to_pylist()]
+
+
+def _text_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    for rows, texts in _unpacked(batches):
+        names = [*rows.schema.names, "text"]
+        yield from W.chunks(pa.RecordBatch.from_arrays([*rows.columns, pa.array(texts, pa.binary())], names))
+
+
 def _pieces(match: int):
-    """core, whole, lo, hi of the pieces at the wanted anchors; lo and hi are the first and last start in the text."""
+    """core, whole, row and span (first start in the text, shifted, and last) of the pieces at the wanted anchors."""
+    size = piece_starts(match)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for rows, data, at in W.chunks(batch):
-                starts, first, hashes = anchors(data, at, match)
-                wanted = rows.column("grams")
-                text = np.searchsorted(at, starts, "right") - 1
-                # A wanted hash may belong to another text of the chunk: then its anchor is wanted there too.
-                use = np.isin(hashes[first], np.unique(wanted.flatten().to_numpy()).view(np.uint64))
-                starts, first, text = starts[use], first[use], text[use]
-                block = (first - starts) // PIECE
-                new = np.ones(len(starts), bool)
-                new[1:] = (first[1:] != first[:-1]) | (block[1:] != block[:-1]) | (starts[1:] != starts[:-1] + 1)
-                lo = starts[new]
-                hi = starts[np.append(np.flatnonzero(new)[1:] - 1, len(starts) - 1)] if len(lo) else lo
-                first, block, text = first[new], block[new], text[new]
-                sums = W.prefix_sums(data)
-                last = first - block * PIECE
-                core = W.mixed(W.span_hashes(sums, last, last - PIECE + 1 + match) ^ block.astype(np.uint64))
-                whole = W.mixed(W.span_hashes(sums, lo, hi + match) ^ (first - lo).astype(np.uint64))
-                pick = pa.array(text)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(W.signed(core)),
-                        pa.array(W.signed(whole)),
-                        rows.column("_id").take(pick),
-                        rows.column("text_id").take(pick),
-                        pa.array(lo - at[text]),
-                        pa.array(hi - at[text]),
-                    ],
-                    ["core", "whole", *KEY, "lo", "hi"],
-                )
+        for rows, data, at in _text_chunks(batches):
+            starts, first, hashes = anchors(data, at, match)
+            text = np.searchsorted(at, starts, "right") - 1
+            # A wanted hash may belong to another text of the chunk: then its anchor is wanted there too.
+            wanted = np.unique(rows.column("grams").flatten().to_numpy()).view(np.uint64)
+            use = np.isin(hashes[first], wanted)
+            starts, first, text = starts[use], first[use], text[use]
+            block = (first - starts) // size
+            new = np.ones(len(starts), bool)
+            new[1:] = (first[1:] != first[:-1]) | (block[1:] != block[:-1]) | (starts[1:] != starts[:-1] + 1)
+            lo = starts[new]
+            hi = starts[np.append(np.flatnonzero(new)[1:] - 1, len(starts) - 1)] if len(lo) else lo
+            first, block, text = first[new], block[new], text[new]
+            sums = W.prefix_sums(data)
+            last = first - block * size
+            core = W.mixed(W.span_hashes(sums, last, last - size + 1 + match) ^ block.astype(np.uint64))
+            whole = W.mixed(W.span_hashes(sums, lo, hi + match) ^ (first - lo).astype(np.uint64))
+            span = ((lo - at[text]) << 32) | (hi - at[text])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(W.signed(core)), pa.array(W.signed(whole)), rows.column("row").take(pa.array(text)), pa.array(span)],
+                ["core", "whole", "row", "span"],
+            )
 
     return run
 
 
 def _piece_bytes(match: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for rows, data, at in W.chunks(batch):
-                raw = data.tobytes()
-                out: list[tuple] = []
-                for base, one, text_id, pieces in zip(at.tolist(), *(rows.column(c).to_pylist() for c in (*KEY, "pieces"))):
-                    out += [(p["core"], one, text_id, p["lo"], raw[base + p["lo"] : base + p["hi"] + match]) for p in pieces]
-                kinds = [pa.int64()] * 4 + [pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)] if out else [pa.array([], t) for t in kinds], ["core", *KEY, "lo", "bytes"])
+        for rows, texts in _unpacked(batches):
+            out: list[tuple] = []
+            for text, row, pieces in zip(texts, *(rows.column(c).to_pylist() for c in ("row", "pieces"))):
+                for p in pieces:
+                    lo, hi = p["span"] >> 32, p["span"] & _LOW
+                    out.append((p["core"], row, lo, text[lo : hi + match]))
+            kinds = [pa.int64()] * 3 + [pa.binary()]
+            columns = zip(*out) if out else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["core", "row", "lo", "bytes"])
 
     return run
 
 
 def _window_hashes(match: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for rows, data, at in W.chunks(batch):
-                sums = [W.prefix_sums(data, k) for k in (0, 1)]
-                for base, one, text_id, pieces in zip(at.tolist(), *(rows.column(c).to_pylist() for c in (*KEY, "pieces"))):
-                    lo = np.concatenate([np.arange(p["lo"], p["hi"] + 1) for p in pieces])
-                    h = [W.signed(W.span_hashes(sums[k], base + lo, base + lo + match, k)) for k in (0, 1)]
-                    fixed = [pa.array(np.full(len(lo), v)) for v in (one, text_id)]
-                    yield pa.RecordBatch.from_arrays([pa.array(h[0]), pa.array(h[1]), *fixed, pa.array(lo)], ["h1", "h2", *KEY, "lo"])
+        for rows, data, at in _text_chunks(batches):
+            sums = [W.prefix_sums(data, k) for k in (0, 1)]
+            for base, row, pieces in zip(at.tolist(), *(rows.column(c).to_pylist() for c in ("row", "pieces"))):
+                lo = np.concatenate([np.arange(p["span"] >> 32, (p["span"] & _LOW) + 1) for p in pieces])
+                h = [W.signed(W.span_hashes(sums[k], base + lo, base + lo + match, k)) for k in (0, 1)]
+                columns = [pa.array(h[0]), pa.array(h[1]), pa.array(np.full(len(lo), row)), pa.array((lo << 32) | lo)]
+                yield pa.RecordBatch.from_arrays(columns, ["h1", "h2", "row", "span"])
 
     return run
 
@@ -168,56 +188,54 @@ def _sorted(match: int):
         new[1:] = (at[1:] != at[:-1] + 1) | (piece[at][1:] != piece[at][:-1])
         first = at[new]
         last = at[np.append(np.flatnonzero(new)[1:] - 1, len(at) - 1)] if len(at) else at
-        lo, own = rows["lo"].to_numpy(), pa.array(piece[first])
-        return pa.table(
-            {
-                "_id": rows["_id"].combine_chunks().take(own),
-                "text_id": rows["text_id"].combine_chunks().take(own),
-                "lo": lo[piece[first]] + shift[first],
-                "hi": lo[piece[last]] + shift[last],
-            }
-        )
+        lo, own = rows["lo"].to_numpy(), piece[first]
+        span = ((lo[own] + shift[first]) << 32) | (lo[own] + shift[last])
+        return pa.table({"row": rows["row"].to_numpy()[own], "span": span})
 
     return run
 
 
-def repeated_spans(src: DataFrame, match: int = MATCH, hot: int = HOT, pack: int = PACK_PIECES) -> DataFrame:
-    """_id, text_id, lo, hi: first and last start of repeated windows, from rows (_id, text, text_id)."""
-    key = "_id bigint, text_id bigint"
-    grams = stage(src.mapInArrow(_grams(match), f"{key}, grams array<bigint>"), "grams").select(*KEY, F.explode("grams").alias("gram"))
-    again = grams.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
-    wanted = grams.join(again, "gram").groupBy(*KEY).agg(F.collect_set("gram").alias("grams"))
-    some = stage(src.select(*KEY, "text").join(wanted, KEY), "texts")
-    pieces = some.mapInArrow(_pieces(match), f"core bigint, whole bigint, {key}, lo bigint, hi bigint")
-    pieces = stage(pieces.withColumn("rid", F.monotonically_increasing_id()), "pieces")
-    classes = stage(pieces.groupBy("core", "whole").agg(F.count("*").alias("n"), F.min("rid").alias("rid")), "classes")
-    found = pieces.join(classes.filter("n > 1").select("core", "whole"), ["core", "whole"]).select(*KEY, "lo", "hi")
+def repeated_spans(src: DataFrame, packed: DataFrame, match: int = MATCH, hot: int = HOT, pack: int = PACK_PIECES) -> DataFrame:
+    """_id, text_id, spans: first (shifted by 32 bits) and last starts of repeated windows of each text that has any."""
+    grams = src.select(*KEY, "text").mapInArrow(_grams(match), "_id bigint, text_id bigint, grams array<bigint>")
+    grams = stage(grams.withColumn("row", F.monotonically_increasing_id()), "grams")
+    each = grams.select("row", F.explode("grams").alias("gram"))
+    again = each.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
+    wanted = each.join(again, "gram").groupBy("row").agg(F.collect_set("gram").alias("grams"))
+    # Rows that repeat a text share its row number, and stay as many.
+    names = grams.groupBy(*KEY).agg(F.min("row").alias("row"))
+    wanted = stage(wanted.join(names, "row"), "wanted")
+    some = stage(packed.select(*KEY, "packed").join(wanted, KEY).select("row", "packed", "grams"), "texts")
+    pieces = stage(some.mapInArrow(_pieces(match), "core bigint, whole bigint, row bigint, span bigint"), "pieces")
+    # One member stands for equal pieces: the first row with one of its spans.
+    classes = pieces.groupBy("core", "whole").agg(F.count("*").alias("n"), F.min("row").alias("row"), F.min_by("span", "row").alias("span"))
+    classes = stage(classes, "classes")
+    found = pieces.join(classes.filter("n > 1").select("core", "whole"), ["core", "whole"]).select("row", "span")
     kinds = classes.groupBy("core").agg(F.count("*").alias("kinds")).filter("kinds > 1")
-    rivals = classes.join(kinds, "core").select("rid", "kinds")
-    rivals = stage(pieces.join(rivals, "rid").select("core", *KEY, "lo", "hi", "kinds"), "rivals")
-    texts = some.select(*KEY, "text").dropDuplicates(KEY)
+    rivals = stage(classes.join(kinds, "core").select("core", "row", "span", "kinds"), "rivals")
 
     def by_text(chosen: DataFrame) -> DataFrame:
-        return texts.join(chosen.groupBy(*KEY).agg(F.collect_list(F.struct("core", "lo", "hi")).alias("pieces")), KEY)
+        return some.select("row", "packed").join(chosen.groupBy("row").agg(F.collect_list(F.struct("core", "span")).alias("pieces")), "row")
 
     packs = max(1, -(-rivals.count() // pack))
-    cut = by_text(rivals.filter(F.col("kinds") <= hot)).mapInArrow(_piece_bytes(match), f"core bigint, {key}, lo bigint, bytes binary")
-    packed = cut.withColumn("_pack", F.pmod(F.xxhash64("core"), F.lit(packs))).groupBy("_pack")
-    found = found.unionByName(packed.applyInArrow(_sorted(match), f"{key}, lo bigint, hi bigint"))
-    windows = by_text(rivals.filter(F.col("kinds") > hot)).mapInArrow(_window_hashes(match), f"h1 bigint, h2 bigint, {key}, lo bigint")
+    cut = by_text(rivals.filter(F.col("kinds") <= hot)).mapInArrow(_piece_bytes(match), "core bigint, row bigint, lo bigint, bytes binary")
+    by_core = cut.withColumn("_pack", F.pmod(F.xxhash64("core"), F.lit(packs))).groupBy("_pack")
+    found = found.unionByName(by_core.applyInArrow(_sorted(match), "row bigint, span bigint"))
+    windows = by_text(rivals.filter(F.col("kinds") > hot)).mapInArrow(_window_hashes(match), "h1 bigint, h2 bigint, row bigint, span bigint")
     twice = windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").select("h1", "h2")
-    return found.unionByName(windows.join(twice, ["h1", "h2"]).select(*KEY, "lo", F.col("lo").alias("hi")))
+    found = found.unionByName(windows.join(twice, ["h1", "h2"]).select("row", "span"))
+    return found.groupBy("row").agg(F.collect_list("span").alias("spans")).join(wanted.select("row", *KEY), "row").drop("row")
 
 
 def _cut_out(match: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for rows, texts in _unpacked(batches):
             kept, totals, removed, spans = [], [], [], []
-            for text, found in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("spans").to_pylist()):
+            for text, found in zip(texts, rows.column("spans").to_pylist()):
                 totals.append(len(text))
                 parts, at, gone, runs = [], 0, 0, 0
                 end = -1
-                for low, high in sorted((s["lo"], s["hi"] + match) for s in found or ()):
+                for low, high in sorted((s >> 32, (s & _LOW) + match) for s in found or ()):
                     if low > end:
                         runs += 1
                         parts.append(text[at:low])
@@ -230,7 +248,7 @@ def _cut_out(match: int):
                 removed.append(gone)
                 spans.append(runs)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in (totals, removed, spans)), pa.array(kept, pa.binary())],
+                [rows.column("doc_id"), *(pa.array(c, pa.int64()) for c in (totals, removed, spans)), pa.array(kept, pa.binary())],
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
             )
 
@@ -243,5 +261,7 @@ def remove_repeats(docs: DataFrame, match: int = MATCH, hot: int = HOT, pack: in
     Cuts may fall inside a character, so the rest is bytes.
     """
     src = with_text_id(docs)
-    spans = repeated_spans(src, match, hot, pack).groupBy(*KEY).agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
-    return src.join(spans, KEY, "left").mapInArrow(_cut_out(match), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+    packed = src.mapInArrow(_packed, "_id bigint, text_id bigint, doc_id bigint, packed binary")
+    spans = repeated_spans(src, packed, match, hot, pack)
+    schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
+    return packed.join(spans, KEY, "left").mapInArrow(_cut_out(match), schema)
