@@ -1,11 +1,15 @@
 """Toxicity by class-conditional Kneser-Ney word models.
 
-Two bigram models, of toxic and of ordinary documents, are trained on labelled rows. A class bigram backs off to the
-class's own unigram counts, and those back off to continuation counts that both classes share, so that an expression that is
-rare in one class is smoothed alike in both. The score of a text is a logistic function of the difference between its two
-log-likelihoods, normalised by its length; the function is fitted on labelled rows that the models have not seen.
-
-Training bound: ``SAMPLE`` labelled rows per class, those with the smallest hash of the doc_id; a quarter of them only fits
+Two bigram models, of toxic and of ordinary documents, are trained on labelled rows. Counts of a class are discounted to what
+exceeds chance. A class bigram backs off to the class's own unigrams, and those back off to counts that both classes share
+(what both have, plus continuation counts: in how many classes a word stands, not how often), so that an expression that is
+rare, or no more frequent in one class than chance allows, has the same probability in both. Copies of a text, and what a text
+repeats, count once. The score of a text is a logistic function of the difference between its two
+log-likelihoods, normalised by its length (over the root of the number of words, as chance differences add up to that; the
+mean per word makes short texts uncertain); the function is fitted on labelled rows that the models have not seen.
+
+Training bound: ``SAMPLE`` labelled rows per class and no more than the rarer class has, so that both models are as sharp; those
+with the smallest hash of the doc_id; a quarter of them only fits
 the logistic function. The tables sent to the tasks are bounded by these rows. Every text is scored whole.
 
 Defined cases: null and empty texts have no words and score the prior; rows whose label or doc_id is null train nothing;
@@ -26,8 +30,9 @@ from ratingmill.llm import words as W
 from ratingmill.session import stage
 
 SAMPLE = 4000
-DISCOUNT = 0.75
-_START = np.uint64(0x1F123BB5159A55E5)
+DISCOUNT, PAIR_DISCOUNT = 2.5, 5.0  # standard errors
+CONTINUATION = 0.5
+_START, _ALONE = np.uint64(0x1F123BB5159A55E5), np.uint64(0x4D5A2DA51DE1AA47)
 
 
 class Lookup:
@@ -63,36 +68,48 @@ def _with_before(words: np.ndarray, first: np.ndarray) -> np.ndarray:
     return before
 
 
+def _discounted(counts: np.ndarray, totals: np.ndarray, errors: float) -> np.ndarray:
+    """What each class's counts keep of their own: the excess over the other class's share, less some standard errors.
+
+    A discount that grows with the count takes all of a rare expression's counts, and of those that only differ by chance.
+    """
+    common = (counts / totals).min(1)[:, None] * totals
+    return np.maximum(counts - common - errors * np.sqrt(counts), 0)
+
+
 class Model:
     """Both class models as lookup tables, and the logistic function of the length-normalised difference."""
 
     def __init__(self, toxic: np.ndarray, before: np.ndarray, word: np.ndarray, count: np.ndarray):
         """Counts of (class, word before, word)."""
-        vocabulary, w = np.unique(word, return_inverse=True)
+        # Words by themselves come with the mark ``_ALONE`` before them.
+        toxic, alone = toxic.astype(np.int64), before == _ALONE
+        vocabulary, w = np.unique(word[alone], return_inverse=True)
+        of, times, size = toxic[alone], count[alone], len(vocabulary)
+        toxic, before, word, count = (column[~alone] for column in (toxic, before, word, count))
         context, v = np.unique(before, return_inverse=True)
         pairs, pair = np.unique(_pair_keys(before, word), return_inverse=True)
-        size = len(vocabulary)
+        # Shared counts: what both classes have, plus a share of a word's continuation count, the number of classes it stands in.
+        stands = np.unique(w * 2 + of)
+        totals = np.array([times[of == k].sum() for k in (0, 1)], float)
+        own_words = np.stack([np.bincount(w[of == k], times[of == k], size) for k in (0, 1)], 1)
+        shared = (own_words / totals).min(1) * totals.mean() + CONTINUATION * np.bincount(stands // 2, minlength=size)
+        whole = shared.sum() + CONTINUATION
+        own_pairs = np.stack([np.bincount(pair[toxic == k], count[toxic == k], len(pairs)) for k in (0, 1)], 1)
+        kept = _discounted(own_words, totals, DISCOUNT)
+        unigram = kept / totals + (1 - kept.sum(0) / totals) * (shared / whole)[:, None]
+        self.unknown = (1 - kept.sum(0) / totals) * CONTINUATION / whole
+        own = _discounted(own_pairs, own_pairs.sum(0), PAIR_DISCOUNT)
         _, one = np.unique(pair, return_index=True)
-        follows = np.bincount(w[one], minlength=size)  # distinct words before, over both classes
-        kinds = np.count_nonzero(follows)
-        shared = np.maximum(follows - DISCOUNT, 0) / follows.sum() + DISCOUNT * kinds / follows.sum() / (size + 1)
-        self.unknown = np.empty(2)
-        unigram, back = np.empty((size, 2)), np.empty((len(context), 2))
-        own = np.zeros((len(pairs), 2))
-        for k in (0, 1):
-            use = toxic == k
-            n, total = np.bincount(w[use], count[use], size), count[use].sum()
-            weight = DISCOUNT * np.count_nonzero(n) / total
-            unigram[:, k] = np.maximum(n - DISCOUNT, 0) / total + weight * shared
-            self.unknown[k] = weight * DISCOUNT * kinds / follows.sum() / (size + 1)
-            held, types = np.bincount(v[use], count[use], len(context)), np.bincount(v[use], minlength=len(context))
-            back[:, k] = np.where(held > 0, DISCOUNT * types / np.maximum(held, 1), 1)
-            own[pair[use], k] = (count[use] - DISCOUNT) / held[v[use]]
+        held = np.stack([np.bincount(v[toxic == k], count[toxic == k], len(context)) for k in (0, 1)], 1)
+        own_mass = np.stack([np.bincount(v[one], own[:, k], len(context)) for k in (0, 1)], 1)
+        back = 1 - own_mass / np.maximum(held, 1)
+        own = own / np.maximum(held, 1)[v[one]]
         self.words, self.contexts, self.pairs = Lookup(vocabulary, unigram), Lookup(context, back), Lookup(pairs, own)
         self.slope, self.offset = 1.0, 0.0
 
     def differences(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Toxic minus ordinary log-likelihood per word, and the number of words, of each text."""
+        """Toxic minus ordinary log-likelihood over the root of the length, and the number of words, of each text."""
         words, first = W.word_hashes(data, at)
         n = np.diff(first)
         if not len(words):
@@ -104,11 +121,11 @@ class Model:
         back = np.where(back > 0, back, 1)
         p = self.pairs.rows[self.pairs(_pair_keys(before, words))] + back * lower
         gain = np.concatenate(([0], np.cumsum(np.log(p[:, 1] / p[:, 0]))))
-        return (gain[first[1:]] - gain[first[:-1]]) / np.maximum(n, 1), n
+        return (gain[first[1:]] - gain[first[:-1]]) / np.sqrt(np.maximum(n, 1)), n
 
     def score(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
-        per_word, n = self.differences(data, at)
-        return 1 / (1 + np.exp(-np.clip(self.offset + self.slope * per_word, -30, 30)))
+        difference, n = self.differences(data, at)
+        return 1 / (1 + np.exp(-np.clip(self.offset + self.slope * difference, -30, 30)))
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3) -> tuple[float, float]:
@@ -146,14 +163,21 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct words and word pairs of each text: what one text repeats says no more about its class."""
     for batch in batches:
         for rows, data, at in W.chunks(batch):
             words, first = W.word_hashes(data, at)
-            toxic = np.repeat(rows.column("toxic").to_numpy(), np.diff(first))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(toxic), pa.array(W.signed(_with_before(words, first))), pa.array(W.signed(words))],
-                ["toxic", "before", "word"],
-            )
+            before = _with_before(words, first)
+            columns: list[list[np.ndarray]] = [[], [], []]
+            for k, toxic in enumerate(rows.column("toxic").to_pylist()):
+                own = slice(first[k], first[k + 1])
+                _, pair = np.unique(_pair_keys(before[own], words[own]), return_index=True)
+                alone = np.unique(words[own])
+                columns[0].append(np.full(len(pair) + len(alone), toxic, np.int32))
+                columns[1] += [before[own][pair], np.full(len(alone), _ALONE)]
+                columns[2] += [words[own][pair], alone]
+            toxic, before, words = (np.concatenate(c) for c in columns)
+            yield pa.RecordBatch.from_arrays([pa.array(toxic), pa.array(W.signed(before)), pa.array(W.signed(words))], ["toxic", "before", "word"])
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Model | None, float]:
@@ -166,14 +190,16 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Mod
     share = sizes.get(1, 0) / total if total else 0.0
     if len(sizes) < 2:
         return None, share
-    chosen = None
+    chosen, size = None, min(sample, *sizes.values())
     for k in (0, 1):
-        some = known.filter(F.col("toxic") == k).orderBy("_h", "doc_id").limit(sample)
+        some = known.filter(F.col("toxic") == k).orderBy("_h", "doc_id").limit(size)
         chosen = some if chosen is None else chosen.unionAll(some)
     # At most 2 * sample rows of two numbers: small enough to send to every task.
     texts = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
     texts = stage(texts.select("toxic", "text", (F.pmod("_h", F.lit(4)) == 0).alias("fits")), "sample")
-    counts = texts.filter("NOT fits").mapInArrow(_counted, "toxic int, before bigint, word bigint")
+    # Copies of a text count once in a class.
+    distinct = texts.filter("NOT fits").select("toxic", "text").distinct()
+    counts = distinct.mapInArrow(_counted, "toxic int, before bigint, word bigint")
     table = counts.groupBy("toxic", "before", "word").agg(F.count("*").alias("n")).toArrow()
     fits = texts.filter("fits").select("toxic", "text").toArrow()
     classes = set(fits["toxic"].to_pylist()) if fits.num_rows else set()
