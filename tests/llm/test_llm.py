@@ -172,7 +172,7 @@ def test_code_tree_is_a_prefix_code():
 
 def test_bits_are_a_probability():
     """The probabilities of all continuations of a text by one byte add up to one."""
-    tree = lm_mixing.code_tree([1] * 256)
+    tree = lm_mixing.code_trees(np.ones((256, 256), int))
     rng = np.random.default_rng(1)
     odds = [rng.normal(0, 1, 1 << b).astype(np.float16) for b in lm_mixing.SLOT_BITS]
     mixer = lm_mixing.Mixer(tree, odds, (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
