@@ -39,6 +39,10 @@ HEADLINE = (
     "similar_to_title",
     "bias_baseline",
     "factor_predictions",
+    "item_based_recs",
+    "similar_items",
+    "content_recs",
+    "rule_boost",
 )
 
 

@@ -31,7 +31,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _LEFT, _RIGHT, _SKIP, _FIXED = 0, 1, 2, 3
 _SHIPPED = ["lb", "rb", "kind", "id", "key", "weight"]
 _CELLS = 4_000_000  # cells of the dense score slice a task works on
-_CHUNK = 2_048  # columns of one matrix product
+_CHUNK = 2_048  # columns of one matrix product, fewer if there are many features
 
 
 Product = Callable[[np.ndarray, np.ndarray], np.ndarray]
@@ -186,14 +186,15 @@ def _dense_product(lrow, lfeat, rfeat, rcol, start: int, stop: int, n_cols: int,
     """The same for well-filled rows, as matrix products over chunks of columns."""
     first, last = np.searchsorted(lrow, [start, stop])
     by_col = np.argsort(rcol, kind="stable")
-    edges = np.arange(0, n_cols + _CHUNK, _CHUNK)
+    chunk = min(_CHUNK, max(64, _CELLS // max(n_feat, 1)))
+    edges = np.arange(0, n_cols + chunk, chunk)
     cuts = np.searchsorted(rcol[by_col], edges)
 
     def product(lw: np.ndarray, rw: np.ndarray) -> np.ndarray:
         lhs, out = np.zeros((stop - start, n_feat)), np.empty((stop - start, n_cols))
         lhs[lrow[first:last] - start, lfeat[first:last]] = lw[first:last]
         for edge, low, high in zip(edges, cuts, cuts[1:]):
-            at, width = by_col[low:high], min(_CHUNK, n_cols - edge)
+            at, width = by_col[low:high], min(chunk, n_cols - edge)
             rhs = np.zeros((n_feat, width))
             rhs[rfeat[at], rcol[at] - edge] = rw[at]
             out[:, edge : edge + width] = lhs @ rhs
@@ -220,7 +221,7 @@ def _best(scores: np.ndarray, k: int | None) -> tuple[np.ndarray, np.ndarray]:
     return rows[place < k], cols[place < k]
 
 
-def _block_kernel(k: int | None, digits: int, score: Score, skip_self: bool):
+def _block_kernel(k: int | None, digits: int, score: Score, skip_self: bool, nonzero: bool = False):
     def kernel(table: pa.Table) -> pa.Table:
         kind, id_, weight = (table[c].to_numpy() for c in ("kind", "id", "weight"))
         known = table["key"].is_valid().to_numpy()
@@ -249,7 +250,7 @@ def _block_kernel(k: int | None, digits: int, score: Score, skip_self: bool):
             same, at_l, at_r = np.intersect1d(lids, rids, return_indices=True)
             skip_row, skip_col = np.append(skip_row, at_l), np.append(skip_col, at_r)
 
-        found = []
+        found, counted = [], []
         # Slice so that both the dense scores and the matched entries stay small.
         work = np.zeros(len(lids), dtype=np.int64)
         np.add.at(work, lrow, rptr[lfeat + 1] - rptr[lfeat])
@@ -257,7 +258,8 @@ def _block_kernel(k: int | None, digits: int, score: Score, skip_self: bool):
         full = len(features) <= 16_384 and work.sum() > 0.005 * len(lids) * len(rids) * len(features)
         if full:
             work[:] = 0
-        cost = np.cumsum(np.maximum(work, len(rids)))
+        # In the dense path a row also holds one cell per feature.
+        cost = np.cumsum(np.maximum(work, len(rids) + (len(features) if full else 0)))
         start = 0
         while start < len(lids):
             done = cost[start - 1] if start else 0
@@ -272,11 +274,25 @@ def _block_kernel(k: int | None, digits: int, score: Score, skip_self: bool):
             scores = np.round(scores, digits) + 0.0
             at = (skip_row >= start) & (skip_row < stop)
             scores[skip_row[at] - start, skip_col[at]] = -np.inf
+            if nonzero:
+                scores[scores == 0] = -np.inf
+                counted.append(np.isfinite(scores).sum(1))
             rows, cols = _best(scores, k)
             found.append((lids[rows + start], rids[cols], scores[rows, cols]))
             start = stop
         columns = [np.concatenate(c) for c in zip(*found)] if found else [np.array([], "i8")] * 2 + [np.array([])]
-        return pa.table({"left_id": columns[0], "right_id": columns[1], "score": columns[2]})
+        if not nonzero:
+            return pa.table({"left_id": columns[0], "right_id": columns[1], "score": columns[2]})
+        counts = np.concatenate(counted) if counted else np.array([], "i8")
+        empty = pa.nulls(len(lids), pa.int64()), pa.nulls(len(lids), pa.float64())
+        return pa.table(
+            {
+                "left_id": np.concatenate((columns[0], lids)),
+                "right_id": pa.chunked_array([pa.array(columns[1], pa.int64()), empty[0]]),
+                "score": pa.chunked_array([pa.array(columns[2], pa.float64()), empty[1]]),
+                "nonzero": pa.chunked_array([pa.nulls(len(columns[0]), pa.int64()), pa.array(counts, pa.int64())]),
+            }
+        )
 
     return kernel
 
@@ -304,6 +320,22 @@ def blocked_topk(
     return top_per_group(found, "left_id", [F.desc("score"), "right_id"], k)
 
 
+def nearest_topk(left: DataFrame, right: DataFrame, k: int, *, digits: int = 6, plan: BlockPlan = BlockPlan()) -> DataFrame:
+    """The part of ``blocked_topk(.., skip_self=True)`` with a score other than 0, for left ids that are right ids too.
+
+    Pairs of score 0 stand between positive and negative ones, and only their number matters. So no id is made known to a
+    block pair where it has no shared feature, and a block pair without a shared feature is not formed: the task counts its
+    left ids' scores other than 0, and the rest of all right ids has score 0.
+    """
+    found = stage(_blocked(left, right, k, None, None, True, DOT, digits, plan, nonzero=True), "nearest")
+    others = right.select("id").distinct().count() - 1
+    counts = found.filter("nonzero IS NOT NULL").groupBy("left_id").agg((F.lit(others) - F.sum("nonzero")).alias("_zeros"))
+    best = top_per_group(found.filter("nonzero IS NULL").drop("nonzero"), "left_id", [F.desc("score"), "right_id"], k)
+    placed = best.join(counts, "left_id")
+    rank = F.col("rank") + F.when(F.col("score") < 0, F.col("_zeros")).otherwise(F.lit(0))
+    return placed.withColumn("rank", rank.cast("int")).filter(F.col("rank") <= k).drop("_zeros")
+
+
 def blocked_matrix(
     left: DataFrame,
     right: DataFrame,
@@ -330,20 +362,26 @@ def _blocked(
     score: Score,
     digits: int,
     plan: BlockPlan,
+    nonzero: bool = False,
 ) -> DataFrame:
     spark: SparkSession = left.sparkSession
     slots = spark.sparkContext.defaultParallelism
     lside = _measure(left, plan)
     rside = lside if right is left else _measure(right, plan)
     lblocks, rblocks = _block_counts(lside, rside, plan, slots)
+    if skip is not None:
+        # Pairs to skip and candidates fill blocks as well.
+        lblocks *= max(1, ceil(skip.count() / (lblocks * rblocks * plan.entries)))
+    if candidates is not None:
+        rblocks = max(rblocks, ceil(candidates.select("id").distinct().count() / plan.right_ids))
 
     lids, rids = left.select("id").distinct(), right.select("id").distinct()
     if candidates is not None:
         rids = rids.union(candidates.select("id")).distinct()
-    parts = [
-        _announce(lids, "lb", "rb", lblocks, rblocks, _LEFT),
-        _announce(rids, "rb", "lb", rblocks, lblocks, _RIGHT),
-    ]
+    parts = []
+    if not nonzero:
+        parts.append(_announce(lids, "lb", "rb", lblocks, rblocks, _LEFT))
+        parts.append(_announce(rids, "rb", "lb", rblocks, lblocks, _RIGHT))
     short_left, short_right = left, right
     if lside.has_long or rside.has_long:
         def long_ids(rows: DataFrame) -> DataFrame:
@@ -355,6 +393,10 @@ def _blocked(
         short_right = right.join(long_right, "id", "left_anti")
         fixed = _long_scores(left, right, long_left, long_right, score)
         parts.append(_located(fixed, lblocks, rblocks, _FIXED))
+        if nonzero:  # both ids of a given score must be known where it is placed
+            for own, kind in (("id", _LEFT), ("key", _RIGHT)):
+                known = _located(fixed, lblocks, rblocks, kind).withColumn("id", F.col(own))
+                parts.append(known.withColumns({"key": F.lit(None).cast("bigint"), "weight": F.lit(0.0)}).distinct())
     parts.append(_ship(short_left, "lb", "rb", lblocks, short_right, rblocks, _LEFT))
     parts.append(_ship(short_right, "rb", "lb", rblocks, short_left, lblocks, _RIGHT))
     if skip is not None:
@@ -365,9 +407,8 @@ def _blocked(
         shipped = shipped.unionByName(part.select(*_SHIPPED))
     # A fixed partition count keeps adaptive execution from merging small but costly block pairs.
     pairs = shipped.repartition(min(lblocks * rblocks, 20_000), "lb", "rb")
-    return pairs.groupBy("lb", "rb").applyInArrow(
-        _block_kernel(k, digits, score, skip_self), "left_id bigint, right_id bigint, score double"
-    )
+    schema = "left_id bigint, right_id bigint, score double" + (", nonzero bigint" if nonzero else "")
+    return pairs.groupBy("lb", "rb").applyInArrow(_block_kernel(k, digits, score, skip_self, nonzero), schema)
 
 
 def _located(pairs: DataFrame, lblocks: int, rblocks: int, kind: int) -> DataFrame:
@@ -404,7 +445,7 @@ def cosine_topk(rows: DataFrame, k: int, plan: BlockPlan = BlockPlan(), wanted:
     """
     unit = stage(unit_rows(rows), "unit")
     left = unit if wanted is None else stage(unit.join(wanted, "id", "left_semi"), "wanted_unit")
-    return blocked_topk(left, unit, k, skip_self=True, plan=plan).filter("score <> 0")
+    return nearest_topk(left, unit, k, plan=plan)
 
 
 def cosine_matrix(rows: DataFrame, plan: BlockPlan = BlockPlan()) -> DataFrame:

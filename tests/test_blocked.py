@@ -10,6 +10,7 @@ from ratingmill.operators.blocked import (
     blocked_matrix,
     blocked_topk,
     cosine_topk,
+    nearest_topk,
 )
 
 PLANS = {
@@ -109,3 +110,25 @@ def test_hot_feature_is_spread_over_tasks(spark):
     scores = np.outer(w, w)
     np.fill_diagonal(scores, -np.inf)
     assert _got(found) == _want(scores, 3)
+
+
+@pytest.mark.parametrize("plan", PLANS)
+def test_nearest_ids_with_few_shared_features(spark, plan):
+    """Most pairs share nothing; zeros stand before negative scores, so few of those are among the best."""
+    rng = np.random.default_rng(9)
+    m = np.zeros((40, 60))
+    for i in range(40):
+        m[i, rng.choice(60, 3, replace=False)] = np.round(rng.normal(size=3), 2)
+    unit = m / np.linalg.norm(m, axis=1, keepdims=True)
+    scores = unit @ unit.T
+    np.fill_diagonal(scores, -np.inf)
+    for k in (3, 38):
+        assert _got(cosine_topk(_long(spark, m), k, PLANS[plan])) == _want(scores, k, drop_zero=True)
+
+
+def test_pairs_without_shared_features_are_not_formed(spark):
+    """Two groups of ids with features of their own: a task meets an id only where it has a partner."""
+    rows = [(i, i % 2, 1.0 + i) for i in range(40)]
+    unit = spark.createDataFrame(rows, "id long, feature long, weight double")
+    found = nearest_topk(unit, unit, 3, plan=BlockPlan(left_ids=1, right_ids=1, entries=1))
+    assert {(r.left_id % 2) == (r.right_id % 2) for r in found.collect()} == {True} and found.count() == 120
