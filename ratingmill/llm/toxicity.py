@@ -35,28 +35,6 @@ CONTINUATION = 0.5
 _START, _ALONE = np.uint64(0x1F123BB5159A55E5), np.uint64(0x4D5A2DA51DE1AA47)
 
 
-class Lookup:
-    """Rows of a float table by 64-bit key."""
-
-    def __init__(self, keys: np.ndarray, rows: np.ndarray):
-        order = np.argsort(keys)
-        self.keys = np.append(keys[order], np.uint64(2**64 - 1))
-        self.rows = np.vstack([rows[order], np.zeros((1, rows.shape[1]))]).astype(np.float32)
-        self.shift = np.uint64(64 - max(1, int(len(keys)).bit_length()))
-        slots = np.arange(2 ** (64 - int(self.shift)), dtype=np.uint64) << self.shift
-        self.start = np.searchsorted(self.keys, slots).astype(np.int32)
-
-    def __call__(self, keys: np.ndarray) -> np.ndarray:
-        """Row number of each key; that of a row of zeros where it is unknown."""
-        at = self.start[keys >> self.shift].astype(np.int64)
-        behind = np.flatnonzero(self.keys[at] < keys)
-        while len(behind):
-            at[behind] += 1
-            behind = behind[self.keys[at[behind]] < keys[behind]]
-        at[self.keys[at] != keys] = len(self.keys) - 1
-        return at
-
-
 def _pair_keys(before: np.ndarray, words: np.ndarray) -> np.ndarray:
     return W.mixed(before * np.uint64(0x9E3779B97F4A7C15) ^ words)
 
@@ -105,7 +83,7 @@ class Model:
         own_mass = np.stack([np.bincount(v[one], own[:, k], len(context)) for k in (0, 1)], 1)
         back = 1 - own_mass / np.maximum(held, 1)
         own = own / np.maximum(held, 1)[v[one]]
-        self.words, self.contexts, self.pairs = Lookup(vocabulary, unigram), Lookup(context, back), Lookup(pairs, own)
+        self.words, self.contexts, self.pairs = (W.Lookup(keys, rows.astype(np.float32)) for keys, rows in ((vocabulary, unigram), (context, back), (pairs, own)))
         self.slope, self.offset = 1.0, 0.0
 
     def differences(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

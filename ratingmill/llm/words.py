@@ -159,3 +159,25 @@ def shingle_sets(data: np.ndarray, at: np.ndarray, width: int = SHINGLE) -> tupl
 
 def signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
+
+
+class Lookup:
+    """Rows of a table by 64-bit key."""
+
+    def __init__(self, keys: np.ndarray, rows: np.ndarray):
+        order = np.argsort(keys)
+        self.keys = np.append(keys[order], np.uint64(2**64 - 1))
+        self.rows = np.concatenate([rows[order], np.zeros((1, *rows.shape[1:]), rows.dtype)])
+        self.shift = np.uint64(64 - max(1, int(len(keys)).bit_length()))
+        slots = np.arange(2 ** (64 - int(self.shift)), dtype=np.uint64) << self.shift
+        self.start = np.searchsorted(self.keys, slots).astype(np.int32)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        """Row number of each key; that of a row of zeros where it is unknown."""
+        at = self.start[keys >> self.shift].astype(np.int64)
+        behind = np.flatnonzero(self.keys[at] < keys)
+        while len(behind):
+            at[behind] += 1
+            behind = behind[self.keys[at[behind]] < keys[behind]]
+        at[self.keys[at] != keys] = len(self.keys) - 1
+        return at
