@@ -118,11 +118,12 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, threshold: int = THRE
     found = None
     for block in _item_blocks(benchmark, block_shingles):
         rows = block.collect()  # one block, bounded by ``block_shingles``
-        sent = spark.sparkContext.broadcast(ItemBlock([r["item_id"] for r in rows], [r["text"] for r in rows], threshold))
+        sent = W.send(spark, ItemBlock([r["item_id"] for r in rows], [r["text"] for r in rows], threshold))
 
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            items = W.received(sent)
             for batch in batches:
-                got = list(sent.value.pairs(batch))
+                got = list(items.pairs(batch))
                 if got:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*got), _PAIR.types)], schema=_PAIR)
 

@@ -10,7 +10,7 @@ mean per word makes short texts uncertain); the function is fitted on labelled r
 
 Training bound: ``SAMPLE`` labelled rows per class and no more than the rarer class has, so that both models are as sharp; those
 with the smallest hash of the doc_id; a quarter of them only fits
-the logistic function. The tables sent to the tasks are bounded by these rows. Every text is scored whole.
+the logistic function. Only words and pairs whose counts may exceed chance are sent to the tasks. Every text is scored whole.
 
 Defined cases: null and empty texts have no words and score the prior; rows whose label or doc_id is null train nothing;
 without a labelled row of either class the score is the share of toxic labels (0 without labels); rows that repeat a doc_id
@@ -58,32 +58,25 @@ def _discounted(counts: np.ndarray, totals: np.ndarray, errors: float) -> np.nda
 class Model:
     """Both class models as lookup tables, and the logistic function of the length-normalised difference."""
 
-    def __init__(self, toxic: np.ndarray, before: np.ndarray, word: np.ndarray, count: np.ndarray):
-        """Counts of (class, word before, word)."""
-        # Words by themselves come with the mark ``_ALONE`` before them.
-        toxic, alone = toxic.astype(np.int64), before == _ALONE
-        vocabulary, w = np.unique(word[alone], return_inverse=True)
-        of, times, size = toxic[alone], count[alone], len(vocabulary)
-        toxic, before, word, count = (column[~alone] for column in (toxic, before, word, count))
-        context, v = np.unique(before, return_inverse=True)
-        pairs, pair = np.unique(_pair_keys(before, word), return_inverse=True)
+    def __init__(self, words: np.ndarray, n: np.ndarray, totals: np.ndarray, rates: float, stands: int, pairs: tuple, held: tuple):
+        """Words with counts ``n`` by class (columns ordinary, toxic) that may keep some; of all words the counts ``totals`` by
+        class, the sum of the smaller rates and the sum of the classes they stand in; pairs (before, word, counts, totals) that
+        may keep some; their words before with counts by class."""
         # Shared counts: what both classes have, plus a share of a word's continuation count, the number of classes it stands in.
-        stands = np.unique(w * 2 + of)
-        totals = np.array([times[of == k].sum() for k in (0, 1)], float)
-        own_words = np.stack([np.bincount(w[of == k], times[of == k], size) for k in (0, 1)], 1)
-        shared = (own_words / totals).min(1) * totals.mean() + CONTINUATION * np.bincount(stands // 2, minlength=size)
-        whole = shared.sum() + CONTINUATION
-        own_pairs = np.stack([np.bincount(pair[toxic == k], count[toxic == k], len(pairs)) for k in (0, 1)], 1)
-        kept = _discounted(own_words, totals, DISCOUNT)
-        unigram = kept / totals + (1 - kept.sum(0) / totals) * (shared / whole)[:, None]
-        self.unknown = (1 - kept.sum(0) / totals) * CONTINUATION / whole
-        own = _discounted(own_pairs, own_pairs.sum(0), PAIR_DISCOUNT)
-        _, one = np.unique(pair, return_index=True)
-        held = np.stack([np.bincount(v[toxic == k], count[toxic == k], len(context)) for k in (0, 1)], 1)
-        own_mass = np.stack([np.bincount(v[one], own[:, k], len(context)) for k in (0, 1)], 1)
-        back = 1 - own_mass / np.maximum(held, 1)
-        own = own / np.maximum(held, 1)[v[one]]
-        self.words, self.contexts, self.pairs = (W.Lookup(keys, rows.astype(np.float32)) for keys, rows in ((vocabulary, unigram), (context, back), (pairs, own)))
+        mean = totals.mean()
+        shared = (n / totals).min(1) * mean + CONTINUATION * (n > 0).sum(1)
+        whole = rates * mean + CONTINUATION * (stands + 1)
+        kept = _discounted(n, totals, DISCOUNT)
+        left = 1 - kept.sum(0) / totals
+        unigram = kept / totals + left * (shared / whole)[:, None]
+        self.unknown = left * CONTINUATION / whole
+        before, word, times, all_pairs = pairs
+        own = _discounted(times, all_pairs, PAIR_DISCOUNT)
+        contexts, context_n = held
+        at = np.searchsorted(contexts, before)
+        back = 1 - np.stack([np.bincount(at, own[:, k], len(contexts)) for k in (0, 1)], 1) / np.maximum(context_n, 1)
+        tables = (words, unigram), (contexts, back), (_pair_keys(before, word), own / np.maximum(context_n, 1)[at])
+        self.words, self.contexts, self.pairs = (W.Lookup(keys, rows.astype(np.float32)) for keys, rows in tables)
         self.slope, self.offset = 1.0, 0.0
 
     def differences(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -126,12 +119,13 @@ def clean_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     model, share = train(docs, labels, sample)
     if model is None:
         return docs.filter(F.lit(share < 0.5))
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = W.send(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = W.received(sent)
         for batch in batches:
             for rows, data, at in W.chunks(batch):
-                yield rows.filter(pa.array(sent.value.score(data, at) < 0.5))
+                yield rows.filter(pa.array(model.score(data, at) < 0.5))
 
     return docs.mapInArrow(run, docs.schema)
 
@@ -177,13 +171,31 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Mod
     texts = stage(texts.select("toxic", "text", (F.pmod("_h", F.lit(4)) == 0).alias("fits")), "sample")
     # Copies of a text count once in a class.
     distinct = texts.filter("NOT fits").select("toxic", "text").distinct()
-    counts = distinct.mapInArrow(_counted, "toxic int, before bigint, word bigint")
-    table = counts.groupBy("toxic", "before", "word").agg(F.count("*").alias("n")).toArrow()
+    counts = distinct.mapInArrow(_counted, "toxic int, before bigint, word bigint").groupBy("before", "word")
+    counts = stage(counts.agg(F.count_if(F.col("toxic") == 0).alias("n0"), F.count_if(F.col("toxic") == 1).alias("n1")), "counts")
+    alone = F.col("before") == F.lit(int(_ALONE.astype(np.int64)))
+    words, pairs = counts.filter(alone), counts.filter(~alone)
+    sums = words.agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum((F.col("n0") > 0).cast("int") + (F.col("n1") > 0).cast("int")).alias("stands")).first()
     fits = texts.filter("fits").select("toxic", "text").toArrow()
-    classes = set(fits["toxic"].to_pylist()) if fits.num_rows else set()
-    if table.num_rows == 0 or len(set(table["toxic"].unique().to_pylist())) < 2 or len(classes) < 2:
+    if not sums["n0"] or not sums["n1"] or len(set(fits["toxic"].to_pylist())) < 2:
         return None, share
-    model = Model(table["toxic"].to_numpy(), *(table[c].to_numpy().view(np.uint64) for c in ("before", "word")), table["n"].to_numpy())
+    totals = np.array([sums["n0"], sums["n1"]], float)
+    rates = words.agg(F.sum(F.least(F.col("n0") / totals[0], F.col("n1") / totals[1])).alias("r")).first()["r"]
+    # No count up to the square of the discount keeps anything: such words are as good as unknown.
+    may_keep = lambda errors: F.greatest("n0", "n1") > errors**2
+    kept_words = words.filter(may_keep(DISCOUNT)).toArrow()
+    kept_pairs = stage(pairs.filter(may_keep(PAIR_DISCOUNT)), "pairs")
+    held = pairs.join(kept_pairs.select("before").distinct(), "before", "left_semi").groupBy("before").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow()
+    all_pairs = pairs.agg(F.coalesce(F.sum("n0"), F.lit(0)).alias("n0"), F.coalesce(F.sum("n1"), F.lit(0)).alias("n1")).first()
+    kept_pairs = kept_pairs.toArrow()
+    keys = lambda t, c: t[c].to_numpy().view(np.uint64)
+    both = lambda t: np.stack([t["n0"].to_numpy(), t["n1"].to_numpy()], 1).astype(float)
+    order = np.argsort(keys(held, "before"))
+    model = Model(
+        keys(kept_words, "word"), both(kept_words), totals, rates, sums["stands"],
+        (keys(kept_pairs, "before"), keys(kept_pairs, "word"), both(kept_pairs), np.maximum([all_pairs["n0"], all_pairs["n1"]], 1.0)),
+        (keys(held, "before")[order], both(held)[order]),
+    )
     x, y = [], fits["toxic"].to_numpy().astype(float)
     for batch in fits.to_batches():
         for _, data, at in W.chunks(batch):
@@ -200,12 +212,13 @@ def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame
     if model is None:
         scored = narrow.select("doc_id", F.lit(float(share)).alias("score"))
     else:
-        sent = docs.sparkSession.sparkContext.broadcast(model)
+        sent = W.send(docs.sparkSession, model)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            model = W.received(sent)
             for batch in batches:
                 for rows, data, at in W.chunks(batch):
-                    yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(sent.value.score(data, at))], ["doc_id", "score"])
+                    yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(model.score(data, at))], ["doc_id", "score"])
 
         scored = narrow.mapInArrow(run, "doc_id bigint, score double")
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

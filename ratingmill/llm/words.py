@@ -6,10 +6,12 @@ Null text counts as empty.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 
 SHINGLE = 5
 CHUNK_BYTES = 1 << 20
@@ -24,6 +26,15 @@ _BASE = [0x9E3779B97F4A7C15, 0xD1342543DE82EF95]
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
+def send(spark, value):
+    """A broadcast that carries the code of ``value`` too: plain broadcasts look its class up on the executors."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(sent):
+    return pickle.loads(sent.value)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser of 64-bit values."""
     x = x ^ (x >> np.uint64(30))
