@@ -27,6 +27,10 @@ SENTENCES = (
     ("bsd-redistribute", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
     ("bsd-name", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
     ("bsd-as-is", 'This software is provided by the copyright holders and contributors "as is" and any express or implied warranties are disclaimed.'),
+    ("bsd-source", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
+    ("bsd-binary", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
+    ("bsd-disclaimer", 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.'),
+    ("bsd-liability", "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."),
     ("cc-by-4-ref", "Licensed under CC BY 4.0."),
     ("cc-by-nc-4-ref", "Licensed under CC BY-NC 4.0."),
     ("cc-by-sa-4-ref", "Licensed under CC BY-SA 4.0."),
@@ -38,6 +42,9 @@ SENTENCES = (
     ("mit-ref", "Released under the MIT License."),
     ("mit-grant", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction.'),
     ("mit-notice", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    ("mit-grant-full", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:'),
+    ("mit-as-is", 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.'),
+    ("mit-liability", "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
     ("mpl-2-ref", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
 
@@ -46,7 +53,9 @@ RULES = (
     ("Apache-2.0", ("apache-2-ref",)),
     ("Apache-2.0", ("apache-2-grant", "apache-2-comply", "apache-2-copy")),
     ("BSD-2-Clause", ("bsd-redistribute", "bsd-as-is")),
+    ("BSD-2-Clause", ("bsd-redistribute", "bsd-source", "bsd-binary", "bsd-disclaimer")),
     ("BSD-3-Clause", ("bsd-redistribute", "bsd-name", "bsd-as-is")),
+    ("BSD-3-Clause", ("bsd-redistribute", "bsd-source", "bsd-binary", "bsd-name", "bsd-disclaimer")),
     ("CC-BY-4.0", ("cc-by-4-ref",)),
     ("CC-BY-NC-4.0", ("cc-by-nc-4-ref",)),
     ("CC-BY-SA-4.0", ("cc-by-sa-4-ref",)),
@@ -56,6 +65,7 @@ RULES = (
     ("GPL-3.0-or-later", ("gpl-free", "gpl-useful")),
     ("MIT", ("mit-ref",)),
     ("MIT", ("mit-grant", "mit-notice")),
+    ("MIT", ("mit-grant-full", "mit-notice")),
     ("MPL-2.0", ("mpl-2-ref",)),
 )
 
