@@ -191,6 +191,25 @@ def test_language_model_of_empty_tables(spark):
     assert (r["n_known"], r["train_tokens"], r["n_tokens"]) == (0, 0, 4) and r["score"] < 0
 
 
+def test_language_model_tables_grow_with_the_contexts(spark, monkeypatch):
+    """Tables that start far too small win back most of what they would lose, and score in slot ranges as at once."""
+    rng = random.Random(10)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(8)) for _ in range(6000)]
+    docs = frame(spark, [(i, " ".join(rng.choice(words) for _ in range(100))) for i in range(300)])
+    total = lambda: sum(r["score"] for r in lm_mixing.score(docs).collect())
+    ample = total()
+    small = [12] * lm_mixing.CONTEXTS
+    monkeypatch.setattr(lm_mixing, "SLOT_BITS", small)
+    assert lm_mixing.slot_bits([10**k for k in range(7, 7 + len(small))]) == [(4 * 10**k).bit_length() for k in range(7, 7 + len(small))]
+    grown = total()
+    with monkeypatch.context() as fixed:
+        fixed.setattr(lm_mixing, "slot_bits", lambda pairs: small)
+        assert grown - total() > 0.5 * (ample - total())
+    monkeypatch.setattr(lm_mixing, "SENT_SLOTS", 1 << 16)
+    monkeypatch.setattr(lm_mixing, "COUNT_SLOTS", 1 << 17)
+    assert math.isclose(total(), grown, rel_tol=1e-6)
+
+
 # --- licences ------------------------------------------------------------------------------
 
 
