@@ -210,6 +210,22 @@ def test_language_model_tables_grow_with_the_contexts(spark, monkeypatch):
     assert math.isclose(total(), grown, rel_tol=1e-6)
 
 
+def test_low_orders_predict_and_weights_follow_a_whole_text():
+    """Only the last byte's table knows anything; a long text goes on with what its first bytes taught the mixer."""
+    tree = lm_mixing.code_trees(np.ones((256, 256), int))
+    stream = np.frombuffer(b"ab" * 6000, np.uint8)
+    begin = np.array([0, len(stream)])
+    odds = [np.zeros(1 << b, np.float16) for b in lm_mixing.SLOT_BITS]
+    none = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    blind = lm_mixing.Mixer(tree, odds, none).costs(stream, begin)[0]
+    place, node, bit, _ = lm_mixing.decisions(lm_mixing.pairs_of(stream, begin), tree)
+    odds[0][lm_mixing.slots(lm_mixing.SLOT_BITS[0], lm_mixing.context_hashes(stream, begin)[0], place, node)] = np.where(bit, 2, -2)
+    mixer = lm_mixing.Mixer(tree, odds, none)
+    assert 1 in lm_mixing.ORDERS and mixer.costs(stream, begin)[0] < 0.9 * blind
+    head = [mixer.costs(stream[:n], np.array([0, n]))[0] for n in (4000, 8000, 12000)]
+    assert head[1] - head[0] < 0.8 * head[0] and head[2] - head[1] < head[1] - head[0]
+
+
 # --- licences ------------------------------------------------------------------------------
 
 
