@@ -1,4 +1,4 @@
-"""Toxicity by class-conditional Kneser-Ney word models.
+"""Toxicity by class-conditional word models (bigrams that back off, with discounts by chance instead of Kneser-Ney's).
 
 Two bigram models, of toxic and of ordinary documents, are trained on labelled rows. Counts of a class are discounted to what
 exceeds chance. A class bigram backs off to the class's own unigrams, and those back off to counts that both classes share
