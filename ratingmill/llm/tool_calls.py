@@ -100,6 +100,7 @@ def turn_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame, DataFram
     """Calls, results and schemas of chats: each turn that is not the assistant's is a call, and the assistant's next turn its result.
 
     A call follows the last call before the assistant's turn that precedes it, or the turn before if that is a call.
+    Turns with a null conv_id or turn are left out, as in the query's SQL.
     """
     turns = conversations.filter("conv_id IS NOT NULL AND turn IS NOT NULL").select(
         F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("turn"), F.coalesce("role", F.lit("user")).alias("role"), "text"
