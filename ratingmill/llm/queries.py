@@ -11,7 +11,20 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingmill.llm import decontamination, exact_dedup, licenses, line_dedup, lm_mixing, mixing, near_dedup, suffix_dedup, tool_calls, toxicity
+from ratingmill.llm import (
+    decontamination,
+    exact_dedup,
+    importance,
+    licenses,
+    line_dedup,
+    lm_mixing,
+    mixing,
+    near_dedup,
+    substring_dedup,
+    suffix_dedup,
+    tool_calls,
+    toxicity,
+)
 
 Runner = Callable[[SparkSession, str], DataFrame]
 
@@ -175,3 +188,58 @@ def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 )
 def op4_tool_links(spark: SparkSession, folder: str) -> DataFrame:
     return tool_calls.link_calls(*tool_calls.turn_calls(table(spark, folder, "conversations")))
+
+
+@query(
+    r"""WITH tab AS MATERIALIZED (
+      SELECT list(list_reduce([i] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+      FROM range(256) r(i)),
+    texts AS (SELECT 0 AS side, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
+    ws AS MATERIALIZED (
+      SELECT side, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+      FROM texts),
+    grams AS MATERIALIZED (
+      SELECT side, id, array_to_string(w[i : i + n - 1], ' ') AS f, count(*) AS c
+      FROM (SELECT side, id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM ws, range(1, 4) r(n)) GROUP BY ALL),
+    hashed AS MATERIALIZED (
+      SELECT f, xor(list_reduce([4294967295] || [('0x' || h[2 * k + 1 : 2 * k + 2])::BIGINT for k in range(len(h) // 2)],
+         lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+      FROM (SELECT DISTINCT f, hex(encode(f)) AS h FROM grams), tab),
+    counted AS MATERIALIZED (SELECT bucket, sum(c) FILTER (side = 0) AS s, sum(c) FILTER (side = 1) AS t FROM grams JOIN hashed USING (f) GROUP BY bucket),
+    totals AS (SELECT coalesce(sum(s), 0)::DOUBLE AS all_s, coalesce(sum(t), 0)::DOUBLE AS all_t FROM counted),
+    gains AS MATERIALIZED (
+      SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (all_s + 10000) / ((coalesce(s, 0) + 1)::DOUBLE * (all_t + 10000))))::BIGINT AS gain
+      FROM counted, totals),
+    weighed AS (SELECT id, sum(c)::BIGINT AS n_features, sum(c * gain)::BIGINT AS weight FROM grams JOIN hashed USING (f) JOIN gains USING (bucket) WHERE side = 0 GROUP BY id),
+    scored AS (
+      SELECT id AS doc_id, len(w)::BIGINT AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('42:' || id)[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+      FROM ws LEFT JOIN weighed USING (id) WHERE side = 0),
+    placed AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM scored WHERE n_words >= 20)
+    SELECT s.*, CASE WHEN rank <= (SELECT count(*) FROM placed) * 5 // 100 THEN rank END AS rank FROM scored s LEFT JOIN placed USING (doc_id)"""
+)
+def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query(
+    r"""WITH d AS MATERIALIZED (
+      SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    starts AS MATERIALIZED (
+      SELECT doc_id, i, md5(array_to_string(w[i : i + 49], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d)),
+    again AS (SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY h) AS first_doc FROM starts) WHERE first_doc < doc_id),
+    ws AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+    marked AS (
+      SELECT doc_id, word, ws.i, coalesce(ws.i - max(again.i) OVER (PARTITION BY doc_id ORDER BY ws.i) < 50, false) AS gone
+      FROM ws LEFT JOIN again USING (doc_id, i)),
+    runs AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS opens FROM marked),
+    kept AS (
+      SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (opens) AS n_repeats, coalesce(string_agg(word, ' ' ORDER BY i) FILTER (NOT gone), '') AS t
+      FROM runs GROUP BY doc_id)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, coalesce(n_repeats, 0) AS n_repeats, sha256(coalesce(t, '')) AS kept_sha256
+    FROM d LEFT JOIN kept USING (doc_id)"""
+)
+def op12_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substring_dedup.remove_repeats(table(spark, folder, "documents"))
+    n_repeats = F.size("repeats").cast("bigint").alias("n_repeats")
+    return kept.select("doc_id", "n_words", "n_removed", n_repeats, F.sha2("kept", 256).alias("kept_sha256"))
