@@ -21,3 +21,9 @@ def join_counted(rows: DataFrame, table: DataFrame, keys: Sequence[str], total:
     few = F.broadcast(table.filter(hot))
     cold = rows.join(F.broadcast(table.filter(hot).select(*keys)), list(keys), "left_anti")
     return rows.join(few, list(keys)).unionByName(cold.join(table.filter(~hot), list(keys)))
+
+
+def look_up(rows: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``join_counted`` for a staged ``rows`` whose keys are counted here."""
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
+    return join_counted(rows, table.join(counts, list(keys)), keys, rows.count(), "_n").drop("_n")

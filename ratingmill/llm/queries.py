@@ -20,6 +20,7 @@ from ratingmill.llm import (
     lm_mixing,
     mixing,
     near_dedup,
+    phrases,
     substring_dedup,
     suffix_dedup,
     tool_calls,
@@ -243,3 +244,32 @@ def op12_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = substring_dedup.remove_repeats(table(spark, folder, "documents"))
     n_repeats = F.size("repeats").cast("bigint").alias("n_repeats")
     return kept.select("doc_id", "n_words", "n_removed", n_repeats, F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query(
+    r"""WITH pieces AS MATERIALIZED (
+      SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM (
+        SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents)),
+    f AS MATERIALIZED (
+      SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase, count(*) AS f
+      FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, range(1, 6) r(k)) GROUP BY ALL),
+    total AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+    often AS MATERIALIZED (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE f >= 100),
+    candidates AS (SELECT * FROM often WHERE k > 1),
+    inner_parts AS (
+      SELECT lang, f, k, m, array_to_string(w[i : i + m - 1], ' ') AS phrase
+      FROM (SELECT lang, f, k, w, m, unnest(range(1, k - m + 2)) AS i FROM candidates, range(2, 5) r(m) WHERE m < k)),
+    dropped AS (SELECT DISTINCT c.lang, c.phrase FROM candidates c JOIN inner_parts p ON p.lang = c.lang AND p.phrase = c.phrase AND 100 * p.f >= 100 * c.f),
+    cuts AS (
+      SELECT c.lang, c.phrase, c.f AS a, cut, n, l.f AS l, r.f AS r, ((1000::HUGEINT * c.f * n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+      FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates) c ANTI JOIN dropped d ON d.lang = c.lang AND d.phrase = c.phrase
+        JOIN total USING (lang)
+        JOIN often l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1 : cut], ' ')
+        JOIN often r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[cut + 1 :], ' ')),
+    best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM best
+    QUALIFY rank <= 2000"""
+)
+def op13_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
