@@ -30,11 +30,12 @@ from pyspark.sql import functions as F
 
 from ratingmill.llm import words as W
 from ratingmill.llm.hot_keys import join_counted
-from ratingmill.llm.line_dedup import with_text_id
+from ratingmill.llm.line_dedup import text_ids
 from ratingmill.session import stage
 
 WINDOW = 50
 KEY = ["_id", "text_id"]
+_LAST_ID = 2**63 - 1
 _UNPACK_ROWS = 256
 _LOW = (1 << 32) - 1
 _ROLL = [0x9E3779B97F4A7C15, 0xD1342543DE82EF95]
@@ -108,13 +109,13 @@ def _seeds(window: int):
             for rows, data, at in W.chunks(batch):
                 runs = Runs(data, at)
                 seed, whole, text, lo, hi = seeds(runs, window)
-                own = pa.array(text)
                 base = runs.first[text]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(W.signed(seed)),
                         pa.array(W.signed(whole)),
-                        *(rows.column(c).take(own) for c in KEY),
+                        rows.column("_id").take(pa.array(text)),
+                        pa.array(W.signed(text_ids(data, at))[text]),
                         pa.array(((lo - base) << 32) | (hi - base)),
                     ],
                     names,
@@ -125,8 +126,12 @@ def _seeds(window: int):
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        packed = pa.array([zlib.compress(t, 1) for t in batch.column("text").cast(pa.binary()).to_pylist()], pa.binary())
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in (*KEY, "doc_id")), packed], [*KEY, "doc_id", "packed"])
+        for rows, data, at in W.chunks(batch):
+            packed = [zlib.compress(data[a:b].tobytes(), 1) for a, b in zip(at, at[1:])]
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("_id"), pa.array(W.signed(text_ids(data, at))), rows.column("doc_id"), pa.array(packed, pa.binary())],
+                [*KEY, "doc_id", "packed"],
+            )
 
 
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
@@ -170,8 +175,11 @@ def later_copies(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def matched_spans(src: DataFrame, packed: DataFrame, window: int = WINDOW) -> DataFrame:
-    """_id, text_id, spans: first (shifted by 32 bits) and last word starts of the matched windows of each text that has any."""
-    found = src.select(*KEY, "text").mapInArrow(_seeds(window), "seed bigint, whole bigint, _id bigint, text_id bigint, span bigint")
+    """_id, text_id, spans: first (shifted by 32 bits) and last word starts of the matched windows of each text that has any.
+
+    ``text_id`` tells apart texts that share a doc_id.
+    """
+    found = src.select("_id", "text").mapInArrow(_seeds(window), "seed bigint, whole bigint, _id bigint, text_id bigint, span bigint")
     found = stage(found, "seeds")
     classes = found.groupBy("seed", "whole").agg(F.count("*").alias("n"), F.min("_id").alias("_first"), F.max("_id").alias("_last"))
     classes = stage(classes, "classes")
@@ -227,7 +235,8 @@ def _cut_out(window: int):
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_removed, repeats (first word and end of each maximal repeat), kept (the other words): one row per row."""
-    src = with_text_id(docs)
+    doc_id, text = F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text")
+    src = docs.select(F.coalesce(doc_id, F.lit(_LAST_ID)).alias("_id"), doc_id.alias("doc_id"), text)
     packed = src.mapInArrow(_packed, "_id bigint, text_id bigint, doc_id bigint, packed binary")
     spans = matched_spans(src, packed, window)
     schema = "doc_id bigint, n_words bigint, n_removed bigint, repeats array<struct<first: bigint, end: bigint>>, kept string"
