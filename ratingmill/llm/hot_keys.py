@@ -11,8 +11,8 @@ HOT_ROWS = 10_000
 HOT_KEYS = 1_000
 
 
-def join_counted(rows: DataFrame, table: DataFrame, keys: Sequence[str], total: int, count: str = "n") -> DataFrame:
-    """Inner join of ``rows`` with ``table``, which has one row per key and how many of the ``total`` rows have it (``count``).
+def join_counted(rows: DataFrame, table: DataFrame, keys: Sequence[str], total: int, count: str = "n", how: str = "inner") -> DataFrame:
+    """Join (``how``: inner or left) of ``rows`` with ``table``, which has one row per key and how many of the ``total`` rows have it (``count``).
 
     Keys of more than ``HOT_ROWS`` rows and more than a ``HOT_KEYS``-th of all are at most ``HOT_KEYS`` keys: those are broadcast, so
     their rows stay where they are. All other keys are shuffled, and none of them is a large part of a task's rows.
@@ -20,7 +20,7 @@ def join_counted(rows: DataFrame, table: DataFrame, keys: Sequence[str], total:
     hot = F.col(count) > max(HOT_ROWS, total // HOT_KEYS)
     few = F.broadcast(table.filter(hot))
     cold = rows.join(F.broadcast(table.filter(hot).select(*keys)), list(keys), "left_anti")
-    return rows.join(few, list(keys)).unionByName(cold.join(table.filter(~hot), list(keys)))
+    return rows.join(few, list(keys)).unionByName(cold.join(table.filter(~hot), list(keys), how))
 
 
 def look_up(rows: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -33,7 +33,8 @@ from ratingmill.session import stage
 LEAST = 100
 LONGEST = 5
 TOP = 2000
-CHUNK_BYTES = 1 << 23
+CHUNK_BYTES = 1 << 24
+PART_BYTES = 1 << 20
 SHARD_ENTRIES = 1 << 20
 UNKNOWN = "und"
 
@@ -61,12 +62,31 @@ def _parts(text: bytes, size: int) -> Iterator[bytes]:
         low = high + 1
 
 
-def _numbered(parts: list[bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
-    """Local word numbers (0: end of a piece), the words, and how often each stands."""
-    numbers = {b".": 0}
-    tokens = b".".join(parts).replace(b".", b" . ").split()
-    found = np.array([numbers.setdefault(t, len(numbers)) for t in tokens], np.int32)
-    return found, list(numbers)[1:], np.bincount(found, minlength=len(numbers))[1:]
+class _Chunk:
+    """Local word numbers of the texts of a language (0: end of a piece), the words, and how often each stands."""
+
+    def __init__(self):
+        self.numbers = {b".": 0}
+        self.found: list[np.ndarray] = []
+        self.waiting: list[bytes] = []
+        self.size = 0
+
+    def add(self, part: bytes) -> None:
+        self.waiting.append(part)
+        self.size += len(part)
+        if self.size >= PART_BYTES:
+            self.flush()
+
+    def flush(self) -> None:
+        numbers = self.numbers
+        tokens = (b".".join(self.waiting) + b".").replace(b".", b" . ").split()
+        self.found.append(np.array([numbers.setdefault(t, len(numbers)) for t in tokens], np.int32))
+        self.waiting, self.size = [], 0
+
+    def row(self, lang: str) -> tuple:
+        self.flush()
+        found = np.concatenate(self.found)
+        return lang, _packed(found), list(self.numbers)[1:], np.bincount(found, minlength=len(self.numbers))[1:]
 
 
 _CHUNKS = "lang string, tokens binary, words array<binary>, counts array<bigint>"
@@ -75,26 +95,22 @@ _CHUNKS = "lang string, tokens binary, words array<binary>, counts array<bigint>
 def _chunks(size: int):
     kinds = [pa.string(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64())]
 
-    def emitted(held: dict[str, list[bytes]]) -> pa.RecordBatch:
-        rows = []
-        for lang, parts in held.items():
-            tokens, words, counts = _numbered(parts)
-            rows.append((lang, _packed(tokens), words, counts))
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["lang", "tokens", "words", "counts"])
+    def emitted(held: dict[str, _Chunk]) -> Iterator[pa.RecordBatch]:
+        for lang, chunk in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(chunk.row(lang), kinds)], ["lang", "tokens", "words", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list[bytes]] = {}
+        held: dict[str, _Chunk] = {}
         total = 0
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
-                for part in _parts((text or b"").translate(_TABLE), size):
-                    held.setdefault(lang, []).append(part)
+                for part in _parts((text or b"").translate(_TABLE), PART_BYTES):
+                    held.setdefault(lang, _Chunk()).add(part)
                     total += len(part)
                     if total >= size:
-                        yield emitted(held)
+                        yield from emitted(held)
                         held, total = {}, 0
-        if held:
-            yield emitted(held)
+        yield from emitted(held)
 
     return run
 
@@ -107,13 +123,14 @@ def _renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names = batch.column("names")[row].values
             number = np.zeros(int(tokens.max(initial=0)) + 1, np.int64)
             number[names.field("local").to_numpy()] = names.field("id").to_numpy()
-            words = pa.array([_packed(number[tokens])], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("chunk").slice(row, 1), words, words], ["chunk", "words", "grams"])
+            words, grams = pa.array([_packed(number[tokens])], pa.binary()), pa.nulls(1, pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("chunk").slice(row, 1), words, grams], ["chunk", "words", "grams"])
 
 
-def _keys(words: bytes, grams: bytes, length: int, word_bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word numbers of a chunk, where its candidate phrases start, and their packed keys."""
-    numbers, heads = _unpacked(words, np.int64), _unpacked(grams, np.int64)
+def _keys(words: bytes, grams: bytes | None, length: int, word_bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word numbers of a chunk, where its candidate phrases start, and their packed keys. Without ``grams`` the words are the heads."""
+    numbers = _unpacked(words, np.int64)
+    heads = numbers if grams is None else _unpacked(grams, np.int64)
     at = np.flatnonzero((heads[:-1] > 0) & (heads[1:] > 0)) if len(heads) else np.zeros(0, np.int64)
     packed = heads[at].astype(np.uint64) << np.uint64(word_bits) | numbers[at + length - 1].astype(np.uint64)
     return numbers, at, packed
@@ -172,7 +189,7 @@ def _merged(least: int, word_bits: int, bits: int, shard_bits: int):
 
 
 def _advanced(length: int, word_bits: int, bits: int, shard_bits: int):
-    """Chunks with the numbers of the frequent phrases of ``length`` words at their starts."""
+    """Chunks with the numbers of the frequent phrases of ``length`` words at their starts, cut to where a longer one may be."""
     permuted = Q.Permutation(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,7 +206,13 @@ def _advanced(length: int, word_bits: int, bits: int, shard_bits: int):
                     ids[begin[own] : begin[own + 1]] = np.where(place < 0, 0, (place << shard_bits | reply["shard"]) + 1)
                 found = np.zeros(len(numbers), np.int64)
                 found[at] = ids[np.searchsorted(keys, every)]
-                columns = [pa.array([chunk]), pa.array([words], pa.binary()), pa.array([_packed(found)], pa.binary())]
+                both = np.flatnonzero((found[:-1] > 0) & (found[1:] > 0))
+                used, kept = np.zeros((2, len(found)), bool)
+                used[both] = used[both + 1] = True
+                for k in range(length + 1):
+                    kept[both + k] = True
+                # What follows a run is not part of a phrase, so the last kept starts hold 0 and part it from the next run.
+                columns = [pa.array([chunk]), *(pa.array([_packed(x[kept])], pa.binary()) for x in (numbers, np.where(used, found, 0)))]
                 yield pa.RecordBatch.from_arrays(columns, ["chunk", "words", "grams"])
 
     return run
@@ -228,8 +251,9 @@ def frequent_phrases(
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     positions, rows = words.agg(F.coalesce(F.sum("f"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
     frequent = stage(with_position(words.filter(F.col("f") >= least), ["lang", "word"], "id"), "frequent")
-    named = join_counted(entries.drop("c"), frequent.select("lang", "word", "n", "id"), ["lang", "word"], rows)
-    names = named.groupBy("chunk").agg(F.collect_list(F.struct("local", "id")).alias("names"))
+    named = join_counted(entries.drop("c"), frequent.select("lang", "word", "n", "id"), ["lang", "word"], rows, how="left")
+    name = F.when(F.col("id").isNotNull(), F.struct("local", "id"))
+    names = named.groupBy("chunk").agg(F.collect_list(name).alias("names")).filter(F.size("names") > 0)
     state = chunks.select("chunk", "tokens").join(names, "chunk").mapInArrow(_renamed, "chunk bigint, words binary, grams binary")
     state = stage(state, "numbers")
     word_bits = head_bits = max(1, frequent.count().bit_length())
