@@ -89,7 +89,7 @@ class _Side:
         return max(1, ceil(self.ids / ids_limit), ceil(self.entries / plan.entries))
 
 
-def _measure(rows: DataFrame, plan: BlockPlan) -> _Side:
+def measure(rows: DataFrame, plan: BlockPlan) -> _Side:
     sizes = rows.groupBy("id").agg(F.count("*").alias("n"))
     short = F.col("n") <= plan.long_row
     ids, entries, longest = sizes.agg(
@@ -113,7 +113,7 @@ def _block_counts(left: _Side, right: _Side, plan: BlockPlan, slots: int) -> tup
     return lblocks, rblocks
 
 
-def _block(key: str, blocks: int) -> Column:
+def block_of(key: str, blocks: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
 
 
@@ -121,13 +121,13 @@ def _ship(rows: DataFrame, own: str, other: str, own_blocks: int, other_rows: Da
     """Send entries to every block of the other side that uses their feature."""
     # At most one array element per block of the other side.
     users = (
-        other_rows.select("feature", _block("id", other_blocks).alias("_b"))
+        other_rows.select("feature", block_of("id", other_blocks).alias("_b"))
         .distinct()
         .groupBy("feature")
         .agg(F.collect_set("_b").alias("_blocks"))
     )
     return rows.join(users, "feature").select(
-        _block("id", own_blocks).alias(own),
+        block_of("id", own_blocks).alias(own),
         F.explode("_blocks").alias(other),
         F.lit(kind).alias("kind"),
         "id",
@@ -139,7 +139,7 @@ def _ship(rows: DataFrame, own: str, other: str, own_blocks: int, other_rows: Da
 def _announce(ids: DataFrame, own: str, other: str, own_blocks: int, other_blocks: int, kind: int) -> DataFrame:
     """Make every id known to every block pair it belongs to, shared features or not."""
     return ids.select(
-        _block("id", own_blocks).alias(own),
+        block_of("id", own_blocks).alias(own),
         F.explode(F.sequence(F.lit(0), F.lit(other_blocks - 1))).alias(other),
         F.lit(kind).alias("kind"),
         "id",
@@ -366,8 +366,8 @@ def _blocked(
 ) -> DataFrame:
     spark: SparkSession = left.sparkSession
     slots = spark.sparkContext.defaultParallelism
-    lside = _measure(left, plan)
-    rside = lside if right is left else _measure(right, plan)
+    lside = measure(left, plan)
+    rside = lside if right is left else measure(right, plan)
     lblocks, rblocks = _block_counts(lside, rside, plan, slots)
     if skip is not None:
         # Pairs to skip and candidates fill blocks as well.
@@ -413,8 +413,8 @@ def _blocked(
 
 def _located(pairs: DataFrame, lblocks: int, rblocks: int, kind: int) -> DataFrame:
     return pairs.select(
-        _block("id", lblocks).alias("lb"),
-        _block("key", rblocks).alias("rb"),
+        block_of("id", lblocks).alias("lb"),
+        block_of("key", rblocks).alias("rb"),
         F.lit(kind).alias("kind"),
         "id",
         "key",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import PCA, StandardScaler
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratingmill.functions import scalars as S
@@ -14,6 +14,7 @@ from ratingmill.operators.blocked import BlockPlan, blocked_topk, cosine_topk, u
 from ratingmill.operators.cleaning import first_per_key, search_titles
 from ratingmill.operators.neighbours import seen_pairs
 from ratingmill.operators.text import tfidf
+from ratingmill.operators.vectors import dense, packed, packed_units, pair_products, weighted_means
 from ratingmill.params import DEFAULTS
 from ratingmill.session import stage
 
@@ -80,19 +81,11 @@ def user_profiles(train: DataFrame, features: DataFrame) -> DataFrame:
     """Rating-weighted mean of the features of a user's movies: ``(id, feature, weight)``.
 
     The rating total runs over the movies that have features. A profile has at most as many rows
-    as there are features, whatever the number of ratings.
+    as there are features, whatever the number of ratings; one row per rating is shuffled.
     """
-    known = features.select("id").distinct()
-    rated = train.select("userId", F.col("movieId").alias("id"), "rating").join(known, "id", "left_semi")
-    totals = rated.groupBy("userId").agg(F.sum("rating").alias("_total"))
-    sums = (
-        rated.join(features, "id")
-        .groupBy("userId", "feature")
-        .agg(F.sum(F.col("rating") * F.col("weight")).alias("_sum"))
-    )
-    return sums.join(totals, "userId").select(
-        F.col("userId").alias("id"), "feature", (F.col("_sum") / F.col("_total")).alias("weight")
-    )
+    vectors = stage(packed(features), "vectors")
+    rated = train.select(F.col("userId").alias("owner"), F.col("movieId").alias("id"), "rating")
+    return weighted_means(rated, vectors).withColumnRenamed("owner", "id")
 
 
 def similar_items(features: DataFrame, k: int = DEFAULTS.top_n, plan: BlockPlan = BlockPlan()) -> DataFrame:
@@ -148,26 +141,16 @@ def content_based(
 
 
 def content_scores(pairs: DataFrame, profiles: DataFrame, features: DataFrame) -> DataFrame:
-    """Content score of given (userId, movieId) pairs, 2.5 where either side is unknown."""
-    items = unit_short_rows(features).select(F.col("id").alias("movieId"), "feature", F.col("weight").alias("_item"))
-    users = unit_short_rows(profiles).select(F.col("id").alias("userId"), "feature", F.col("weight").alias("_user"))
-    known = (
-        pairs.select("userId", "movieId")
-        .join(items.select("movieId").distinct(), "movieId", "left_semi")
-        .join(users.select("userId").distinct(), "userId", "left_semi")
-    )
-    products = (
-        known.join(items, "movieId")
-        .join(users, ["userId", "feature"])
-        .groupBy("userId", "movieId")
-        .agg(F.sum(F.col("_item") * F.col("_user")).alias("_cosine"))
-    )
-    scored = known.join(products, ["userId", "movieId"], "left").select(
-        "userId", "movieId", S.clip_rating(F.coalesce("_cosine", F.lit(0.0)) * 5).alias("content_score")
-    )
-    return pairs.join(scored, ["userId", "movieId"], "left").withColumn(
-        "content_score", S.rounded(F.coalesce("content_score", F.lit(NEUTRAL_SCORE)))
-    )
+    """Content score of given (userId, movieId) pairs, 2.5 where either side is unknown.
+
+    Vectors are packed: a pair is one row, whatever the number of its terms.
+    """
+    items, users = packed_units(features), packed_units(profiles)
+    width = features.agg(F.coalesce(F.max("feature"), F.lit(0))).first()[0]
+    named = pairs.withColumnsRenamed({"userId": "id", "movieId": "key"})
+    scored = pair_products(named, users, items, width).withColumnsRenamed({"id": "userId", "key": "movieId"})
+    score = F.coalesce(S.clip_rating(F.col("product") * 5), F.lit(NEUTRAL_SCORE))
+    return scored.withColumn("content_score", S.rounded(score)).select(*pairs.columns, "content_score")
 
 
 def principal_components(vectors: DataFrame, k: int = 2, column: str = "features"):
@@ -187,15 +170,5 @@ def dense_features(features: DataFrame, items: int | None = None) -> DataFrame:
     if items is not None:
         chosen = features.select("id").distinct().orderBy("id").limit(items)
         features = features.join(chosen, "id", "left_semi")
-    # A row holds at most one entry per feature; zeros fill the gap before each entry and the rest of the row.
-    entries = F.array_sort(F.collect_list(F.struct("feature", "weight")))
-    held = features.groupBy("id").agg(entries.alias("_held"))
-    zeros = lambda n: F.array_repeat(F.lit(0.0), n.cast("int"))
-
-    def filled(entry: Column, i: Column) -> Column:
-        before = F.coalesce(F.get(F.col("_held.feature"), i - 1), F.lit(0))
-        return F.concat(zeros(entry["feature"] - before - 1), F.array(entry["weight"]))
-
-    tail = zeros(F.lit(width) - F.element_at("_held.feature", -1))
-    dense = F.concat(F.flatten(F.transform("_held", filled)), tail)
-    return held.select(F.col("id").alias("movieId"), dense.alias("features"))
+    # A row holds at most one entry per feature.
+    return packed(features).select(F.col("id").alias("movieId"), dense(F.col("entries"), width).alias("features"))

@@ -304,10 +304,32 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
            FROM content_scores LEFT JOIN user_bias USING (userId) LEFT JOIN item_bias USING (movieId), global_mean""",
         ("content_scores", "user_bias", "item_bias", "global_mean"),
     ),
+    # Estimates of the test pairs by every family.
+    "ubcf_pairs": (
+        """SELECT e.userId, e.movieId, least(5.0, greatest(0.5, m + coalesce(d, 0))) AS ubcf FROM test e JOIN means USING (userId)
+           LEFT JOIN (SELECT w.u AS userId, c.movieId, round(sum(w.w * c.r), 6) + 0.0 AS d
+                      FROM (SELECT u, v, s / sum(abs(s)) OVER (PARTITION BY u) AS w FROM user_near) w
+                      JOIN centred c ON c.userId = w.v GROUP BY 1, 2) USING (userId, movieId)
+           WHERE e.userId IN (SELECT u FROM user_near)""",
+        ("user_near", "centred", "means", "test"),
+    ),
+    "ibcf_pairs": (
+        """SELECT e.userId, e.movieId, least(5.0, greatest(0.5, m + coalesce(d, 0))) AS ibcf FROM test e JOIN means USING (userId)
+           LEFT JOIN (SELECT c.userId, k.i AS movieId,
+                        round(coalesce(sum(k.s * c.r) / nullif(sum(CASE WHEN c.r <> 0 THEN abs(k.s) END), 0), 0), 6) + 0.0 AS d
+                      FROM item_near k JOIN centred c ON c.movieId = k.j GROUP BY 1, 2) USING (userId, movieId)""",
+        ("item_near", "centred", "means", "test"),
+    ),
+    "family_scores": (
+        """SELECT *, 0.7 * cf_score + 0.3 * content_score AS blend FROM scored
+           LEFT JOIN ubcf_pairs USING (userId, movieId) LEFT JOIN ibcf_pairs USING (userId, movieId)""",
+        ("scored", "ubcf_pairs", "ibcf_pairs"),
+    ),
+    "lists": ("SELECT * FROM ubcf UNION ALL SELECT * FROM ibcf UNION ALL SELECT * FROM content_recs", ("ubcf", "ibcf", "content_recs")),
     "pooled": ("SELECT * FROM ubcf UNION ALL SELECT * FROM ibcf", ("ubcf", "ibcf")),
     "pooled_families": (
-        "SELECT split_part(split_part(method, ' ', 1), '-', 1) AS method, userId, movieId, rank FROM pooled",
-        ("pooled",),
+        "SELECT split_part(split_part(method, ' ', 1), '-', 1) AS method, userId, movieId, rank FROM lists",
+        ("lists",),
     ),
     # Rules by bit masks over the movie types.
     "type_bits": (

@@ -18,7 +18,7 @@ from ratingmill.operators import (
     splitting,
     text,
 )
-from ratingmill.plans.base import centred_of, lazy_train, query, rule_sql, split_of, sql, train_of
+from ratingmill.plans.base import QUERIES, centred_of, lazy_train, query, rule_sql, split_of, sql, train_of
 from ratingmill.session import fresh_path, stage
 from ratingmill.sources import sinks
 from ratingmill.sources import tables as T
@@ -464,24 +464,58 @@ def _pooled(spark, folder):
     return stage(recs, "pooled"), split
 
 
+def _lists(spark, folder):
+    """Lists of every family that has a definite result, and the split they are made of."""
+    pooled, split = _pooled(spark, folder)
+    users = splitting.test_rows(split).select("userId").distinct()
+    by_content = content.content_based(splitting.train_rows(split), users, _features(spark, folder))
+    return stage(neighbours.pool(pooled, by_content), "lists"), split
+
+
 @query(sql("SELECT userId, rank, movieId, round(predicted_rating, 6) AS predicted_rating, method FROM pooled", "pooled"))
 def pooled_recs(spark, folder):
     return _pooled(spark, folder)[0].withColumn("predicted_rating", S.rounded(F.col("predicted_rating")))
 
 
-@query(
-    sql(
-        """SELECT model, round(sqrt(avg(e * e)), 4) AS rmse, round(avg(abs(e)), 4) AS mae
-           FROM (SELECT model, least(5.0, greatest(0.5, p)) - rating AS e FROM (
-             SELECT 'Baseline' AS model, cf_score AS p, rating FROM scored
-             UNION ALL SELECT 'Content', content_score, rating FROM scored
-             UNION ALL SELECT 'Blend', 0.7 * cf_score + 0.3 * content_score, rating FROM scored)) GROUP BY model""",
-        "scored",
-    )
+_FAMILIES = {"Baseline": "cf_score", "Content": "content_score", "Blend": "blend", "UBCF": "ubcf", "IBCF": "ibcf"}
+_ACCURACY = sql(
+    """SELECT model, round(sqrt(avg(e * e)), 4) AS rmse, round(avg(abs(e)), 4) AS mae
+       FROM (SELECT model, least(5.0, greatest(0.5, p)) - rating AS e FROM ("""
+    + " UNION ALL ".join(f"SELECT '{m}' AS model, {c} AS p, rating FROM family_scores" for m, c in _FAMILIES.items())
+    + ")) WHERE e IS NOT NULL GROUP BY model",
+    "family_scores",
 )
+
+
+def _family_scores(spark, folder, split):
+    """Estimates of every test pair by each family; only the listed pairs are scored."""
+    centred = neighbours.centred_train(splitting.train_rows(split))
+    scored = stage(_scored(spark, folder, split).withColumn("blend", F.col("cf_score") * 0.7 + F.col("content_score") * 0.3), "scored")
+    scored = neighbours.item_based_scores(neighbours.user_based_scores(scored, centred), centred)
+    return stage(scored, "families")
+
+
+@query(_ACCURACY)
 def accuracy(spark, folder):
-    scored = _blended(spark, folder)
-    return evaluation.accuracy(scored, {"Baseline": "cf_score", "Content": "content_score", "Blend": "blend"})
+    """Error of each family over the whole test part."""
+    return evaluation.accuracy(_family_scores(spark, folder, split_of(spark, folder)), _FAMILIES)
+
+
+def _all_family_scores(spark, folder):
+    """As ``_family_scores`` with the factor model and the routed hybrid of factors and content."""
+    split = split_of(spark, folder)
+    train = splitting.train_rows(split)
+    model = factor.BiasedFactors(**_SMALL).fit(train)
+    scored = model.transform(_family_scores(spark, folder, split)).withColumnsRenamed({"cf_score": "baseline", "prediction": "cf_score"})
+    scored = stage(scored, "factors")
+    routed = hybrid.routed_scores(scored, profile.count_per(train, "userId"), _tuned(scored))
+    return stage(routed.withColumnsRenamed({"cf_score": "factors", "baseline": "cf_score"}), "routed")
+
+
+@query()
+def accuracy_with_factors(spark, folder):
+    """The same with the factor model and the hybrid of factors and content in the table."""
+    return evaluation.accuracy(_all_family_scores(spark, folder), _FAMILIES | {"SVD": "factors", "Hybrid": "hybrid_score"})
 
 
 def _blended(spark, folder):
@@ -517,7 +551,8 @@ def paired_t_test(spark, folder):
 
 @query()
 def paired_t_test_p_value(spark, folder):
-    return evaluation.paired_t_test(_blended(spark, folder), "cf_score", "blend")
+    """Squared errors of the factor model against those of the hybrid."""
+    return evaluation.paired_t_test(_all_family_scores(spark, folder), "factors", "hybrid_score")
 
 
 def _quality_sql(k: int) -> str:
@@ -536,7 +571,7 @@ def _quality_sql(k: int) -> str:
     + " UNION ALL ".join(_quality_sql(k) for k in (5, 10, 20))
 )
 def ranking_quality(spark, folder):
-    recs, split = _pooled(spark, folder)
+    recs, split = _lists(spark, folder)
     return evaluation.ranking_quality(recs, splitting.test_rows(split))
 
 
@@ -548,7 +583,7 @@ def ranking_quality(spark, folder):
     )
 )
 def catalog_coverage(spark, folder):
-    return evaluation.coverage(_pooled(spark, folder)[0], T.movies(spark, folder))
+    return evaluation.coverage(_lists(spark, folder)[0], T.movies(spark, folder))
 
 
 @query(
@@ -559,7 +594,7 @@ def catalog_coverage(spark, folder):
       FROM pooled_families LEFT JOIN pop USING (movieId) GROUP BY 1, 2) GROUP BY 1"""
 )
 def serendipity(spark, folder):
-    recs, split = _pooled(spark, folder)
+    recs, split = _lists(spark, folder)
     return evaluation.serendipity(recs, splitting.train_rows(split))
 
 
@@ -572,23 +607,41 @@ def serendipity(spark, folder):
     SELECT method, round(avg(coalesce(x, 0)), 4) AS diversity FROM (SELECT method, userId, avg(d) AS x FROM d GROUP BY 1, 2) GROUP BY 1"""
 )
 def list_diversity(spark, folder):
-    return evaluation.diversity(_pooled(spark, folder)[0], T.movies(spark, folder))
+    return evaluation.diversity(_lists(spark, folder)[0], T.movies(spark, folder))
 
 
-@query()
+def _report_sql(section: str, body: str, method: str, values: tuple[str, ...]) -> str:
+    parts = [f"SELECT '{section}' AS section, {method} AS method, '{v}' AS metric, {v}::DOUBLE AS value FROM ({body})" for v in values]
+    return " UNION ALL ".join(parts)
+
+
+@query(
+    " UNION ALL ".join(
+        [
+            _report_sql("Accuracy", _ACCURACY, "model", ("rmse", "mae")),
+            _report_sql("Ranking_Metrics", QUERIES["ranking_quality"].sql, "method || '@' || k", ("precision", "recall", "ndcg")),
+            _report_sql("Beyond_Accuracy", QUERIES["catalog_coverage"].sql, "method", ("coverage_percent",)),
+            _report_sql("Beyond_Accuracy", QUERIES["list_diversity"].sql, "method", ("diversity",)),
+            _report_sql("Beyond_Accuracy", QUERIES["serendipity"].sql, "method", ("serendipity",)),
+        ]
+    )
+)
 def metrics_report(spark, folder):
-    """All metrics as one long table, written as JSON and read back."""
-    recs, split = _pooled(spark, folder)
+    """All metrics as one long table, written as JSON and read back; the accuracy table is written as markdown beside it."""
+    recs, split = _lists(spark, folder)
     movies = T.movies(spark, folder)
+    table = stage(evaluation.accuracy(_family_scores(spark, folder, split), _FAMILIES), "accuracy")
     report = evaluation.metrics_report(
         {
+            "Accuracy": table,
             "Ranking_Metrics": evaluation.ranking_quality(recs, splitting.test_rows(split)),
             "Beyond_Accuracy": evaluation.beyond_accuracy(recs, movies, splitting.train_rows(split)),
         },
-        {"Ranking_Metrics": ["method", "k"], "Beyond_Accuracy": ["method"]},
+        {"Accuracy": ["model"], "Ranking_Metrics": ["method", "k"], "Beyond_Accuracy": ["method"]},
     )
     path = fresh_path(spark, "report")
     sinks.write_json(report, path)
+    sinks.write_text(spark, evaluation.markdown_table(table, "model"), f"{path}-markdown")
     return spark.read.schema(report.schema).json(path)
 
 

@@ -22,6 +22,11 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def write_text(spark: SparkSession, text: str, path: str) -> None:
+    """A short text, such as a summary table, as one file."""
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
 def write_tables(tables: Mapping[str, DataFrame], folder: str) -> None:
     """Drop and recreate every table of a warehouse as parquet."""
     for name, df in tables.items():
