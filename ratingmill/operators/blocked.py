@@ -30,7 +30,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # What a shipped row means inside a block pair.
 _LEFT, _RIGHT, _SKIP, _FIXED = 0, 1, 2, 3
 _SHIPPED = ["lb", "rb", "kind", "id", "key", "weight"]
-_CELLS = 4_000_000  # cells of the dense score slice a task works on
+CELLS = 4_000_000  # cells of the dense score slice a task works on
 _CHUNK = 2_048  # columns of one matrix product, fewer if there are many features
 
 
@@ -166,7 +166,7 @@ def _long_scores(left: DataFrame, right: DataFrame, long_left: DataFrame, long_r
     return joined(left_long, right).unionByName(joined(left_short, right.join(long_right, "id", "left_semi")))
 
 
-def _sparse_product(lrow, lfeat, rptr, rcol, start: int, stop: int, n_cols: int) -> Product:
+def sparse_product(lrow, lfeat, rptr, rcol, start: int, stop: int, n_cols: int) -> Product:
     """Products of rows start..stop: every left entry meets the right entries of its feature."""
     first, last = np.searchsorted(lrow, [start, stop])
     counts = rptr[lfeat[first:last] + 1] - rptr[lfeat[first:last]]
@@ -182,11 +182,11 @@ def _sparse_product(lrow, lfeat, rptr, rcol, start: int, stop: int, n_cols: int)
     return product
 
 
-def _dense_product(lrow, lfeat, rfeat, rcol, start: int, stop: int, n_cols: int, n_feat: int) -> Product:
+def dense_product(lrow, lfeat, rfeat, rcol, start: int, stop: int, n_cols: int, n_feat: int) -> Product:
     """The same for well-filled rows, as matrix products over chunks of columns."""
     first, last = np.searchsorted(lrow, [start, stop])
     by_col = np.argsort(rcol, kind="stable")
-    chunk = min(_CHUNK, max(64, _CELLS // max(n_feat, 1)))
+    chunk = min(_CHUNK, max(64, CELLS // max(n_feat, 1)))
     edges = np.arange(0, n_cols + chunk, chunk)
     cuts = np.searchsorted(rcol[by_col], edges)
 
@@ -203,7 +203,7 @@ def _dense_product(lrow, lfeat, rfeat, rcol, start: int, stop: int, n_cols: int,
     return product
 
 
-def _best(scores: np.ndarray, k: int | None) -> tuple[np.ndarray, np.ndarray]:
+def best_columns(scores: np.ndarray, k: int | None) -> tuple[np.ndarray, np.ndarray]:
     """Rows and columns of the k best finite scores per row, ties to the lower column.
 
     Without k: of all scores that are not zero.
@@ -263,11 +263,11 @@ def _block_kernel(k: int | None, digits: int, score: Score, skip_self: bool, non
         start = 0
         while start < len(lids):
             done = cost[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(cost, done + _CELLS, side="right")))
+            stop = max(start + 1, int(np.searchsorted(cost, done + CELLS, side="right")))
             if full:
-                product = _dense_product(lrow, lfeat, rfeat, rcol, start, stop, len(rids), len(features))
+                product = dense_product(lrow, lfeat, rfeat, rcol, start, stop, len(rids), len(features))
             else:
-                product = _sparse_product(lrow, lfeat, rptr, rcol, start, stop, len(rids))
+                product = sparse_product(lrow, lfeat, rptr, rcol, start, stop, len(rids))
             scores = score.dense(product, features[lfeat], lw, rw)
             at = (fixed_row >= start) & (fixed_row < stop)
             scores[fixed_row[at] - start, fixed_col[at]] = fixed[at]
@@ -277,7 +277,7 @@ def _block_kernel(k: int | None, digits: int, score: Score, skip_self: bool, non
             if nonzero:
                 scores[scores == 0] = -np.inf
                 counted.append(np.isfinite(scores).sum(1))
-            rows, cols = _best(scores, k)
+            rows, cols = best_columns(scores, k)
             found.append((lids[rows + start], rids[cols], scores[rows, cols]))
             start = stop
         columns = [np.concatenate(c) for c in zip(*found)] if found else [np.array([], "i8")] * 2 + [np.array([])]

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from ratingmill.functions import scalars as S
 from ratingmill.functions.stopwords import ENGLISH
-from ratingmill.operators.blocked import BlockPlan, blocked_topk, cosine_topk, unit_short_rows
+from ratingmill.operators.blocked import BlockPlan, cosine_topk, unit_short_rows
 from ratingmill.operators.cleaning import first_per_key, search_titles
+from ratingmill.operators.mips import top_products
 from ratingmill.operators.neighbours import seen_pairs
 from ratingmill.operators.text import tfidf
-from ratingmill.operators.vectors import dense, packed, packed_units, pair_products, weighted_means
+from ratingmill.operators.vectors import dense, packed, packed_units, pair_products, weighted_means, weighted_sums
 from ratingmill.params import DEFAULTS
 from ratingmill.session import stage
 
@@ -128,9 +129,10 @@ def content_based(
 ) -> DataFrame:
     """Top-n unseen movies per user by cosine between profile and features."""
     mine = train.join(users.select("userId"), "userId", "left_semi")
-    profiles = stage(unit_short_rows(user_profiles(mine, features)), "unit_profiles")
-    items = stage(unit_short_rows(features), "unit_items")
-    found = blocked_topk(profiles, items, top_n, skip=seen_pairs(mine), plan=plan)
+    rated = mine.select(F.col("userId").alias("owner"), F.col("movieId").alias("id"), "rating")
+    # A cosine does not depend on the length of a profile, so the sums serve as well as the means.
+    sums = weighted_sums(rated, stage(packed(features), "vectors")).withColumnRenamed("owner", "id")
+    found = top_products(packed_units(sums), packed_units(features), top_n, skip=seen_pairs(mine), plan=plan)
     return found.select(
         F.col("left_id").alias("userId"),
         "rank",

@@ -14,9 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratingmill.functions import scalars as S
-from ratingmill.operators.blocked import BlockPlan, blocked_topk
+from ratingmill.operators.blocked import BlockPlan
+from ratingmill.operators.mips import top_products
 from ratingmill.operators.neighbours import seen_pairs
 from ratingmill.operators.ranking import with_position
+from ratingmill.operators.vectors import packed
 from ratingmill.params import DEFAULTS
 from ratingmill.session import shared_dir, stage
 
@@ -151,10 +153,10 @@ class FactorModel(Model):
     @staticmethod
     def _vectors(factors: DataFrame, ids: DataFrame, key: str, extra: dict) -> DataFrame:
         tail = F.array(*[column.cast("double") for _, column in sorted(extra.items())])
-        packed = factors.join(ids, F.col("id") == F.col(f"{key}_index")).select(
+        joined = factors.join(ids, F.col("id") == F.col(f"{key}_index")).select(
             F.col(key).alias("id"), F.concat(F.col("features").cast("array<double>"), tail).alias("_vector")
         )
-        return packed.select("id", F.posexplode("_vector").alias("feature", "weight")).withColumn(
+        return joined.select("id", F.posexplode("_vector").alias("feature", "weight")).withColumn(
             "feature", F.col("feature").cast("bigint")
         )
 
@@ -163,9 +165,8 @@ class FactorModel(Model):
     ) -> DataFrame:
         """Top-n unseen movies per user by estimated rating, all training movies considered."""
         wanted = users.select(F.col("userId").alias("id"))
-        left = stage(self.user_vectors().join(wanted, "id", "left_semi"), "user_vectors")
-        right = stage(self.item_vectors(), "item_vectors")
-        found = blocked_topk(left, right, top_n, skip=seen_pairs(train, users), plan=plan)
+        left = packed(self.user_vectors().join(wanted, "id", "left_semi"))
+        found = top_products(left, packed(self.item_vectors()), top_n, skip=seen_pairs(train, users), plan=plan)
         return found.select(
             F.col("left_id").alias("userId"),
             "rank",

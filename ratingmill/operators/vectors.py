@@ -47,8 +47,8 @@ def dense(entries: Column, width: int) -> Column:
     return F.concat(F.flatten(F.array_compact(filled)), tail)
 
 
-def weighted_means(ratings: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Rating-weighted mean of the vectors an owner rated: long rows (owner, feature, weight).
+def weighted_sums(ratings: DataFrame, vectors: DataFrame) -> DataFrame:
+    """Rating-weighted sum of the vectors an owner rated: long rows (owner, feature, weight).
 
     ``ratings`` is (owner, id, rating), ``vectors`` is packed. A rating travels once, with its whole vector, to the task of its owner, and is
     taken apart and summed there. Owners with more than a ``HOT_SHARE``-th of all ratings, ``HOT_SHARE`` of them at most, are summed
@@ -61,14 +61,18 @@ def weighted_means(ratings: DataFrame, vectors: DataFrame) -> DataFrame:
 
     def summed(rows: DataFrame) -> DataFrame:
         terms = rows.select("owner", "rating", F.inline("entries"))
-        return terms.groupBy("owner", "feature").agg(F.sum(F.col("rating") * F.col("weight")).alias("_sum"))
+        return terms.groupBy("owner", "feature").agg(F.sum(F.col("rating") * F.col("weight")).alias("weight"))
 
     cold = summed(rated.join(hot, "owner", "left_anti").repartition("owner"))
-    sums = cold.unionByName(summed(rated.join(hot, "owner", "left_semi")))
-    # The total runs over the ratings whose movie has a vector.
+    return cold.unionByName(summed(rated.join(hot, "owner", "left_semi")))
+
+
+def weighted_means(ratings: DataFrame, vectors: DataFrame) -> DataFrame:
+    """``weighted_sums`` over the owner's total rating of the ids that have a vector."""
     known = ratings.join(vectors.select("id"), "id", "left_semi")
     totals = known.groupBy("owner").agg(F.sum("rating").alias("_total"))
-    return sums.join(totals, "owner").select("owner", "feature", (F.col("_sum") / F.col("_total")).alias("weight"))
+    sums = weighted_sums(ratings, vectors).join(totals, "owner")
+    return sums.select("owner", "feature", (F.col("weight") / F.col("_total")).alias("weight"))
 
 
 def pair_products(pairs: DataFrame, left: DataFrame, right: DataFrame, width: int) -> DataFrame:
