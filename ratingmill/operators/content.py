@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from ratingmill.functions import scalars as S
 from ratingmill.functions.stopwords import ENGLISH
-from ratingmill.operators.blocked import BlockPlan, cosine_topk, unit_short_rows
+from ratingmill.operators.blocked import BlockPlan, unit_short_rows
 from ratingmill.operators.cleaning import first_per_key, search_titles
-from ratingmill.operators.mips import top_products
+from ratingmill.operators.mips import nearest_vectors, top_products
 from ratingmill.operators.neighbours import seen_pairs
 from ratingmill.operators.text import tfidf
 from ratingmill.operators.vectors import dense, packed, packed_units, pair_products, weighted_means, weighted_sums
@@ -91,7 +91,7 @@ def user_profiles(train: DataFrame, features: DataFrame) -> DataFrame:
 
 def similar_items(features: DataFrame, k: int = DEFAULTS.top_n, plan: BlockPlan = BlockPlan()) -> DataFrame:
     """``k`` most similar movies per movie; similarity kept as float as in a stored matrix."""
-    return cosine_topk(features, k, plan).select(
+    return nearest_vectors(features, k, plan).select(
         F.col("left_id").alias("movieId"),
         F.col("right_id").alias("similar_id"),
         F.col("score").cast("float").alias("similarity"),

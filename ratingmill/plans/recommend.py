@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from ratingmill.functions import scalars as S
 from ratingmill.operators import (
-    blocked,
     content,
     evaluation,
     factor,
     hybrid,
+    mips,
     neighbours,
     profile,
     rules,
@@ -252,7 +252,7 @@ def similar_vectors(spark, folder):
         F.col("vec_id").alias("id"), F.posexplode("embedding").alias("feature", "weight")
     )
     typed = rows.select("id", F.col("feature").cast("bigint").alias("feature"), F.col("weight").cast("double").alias("weight"))
-    return blocked.cosine_topk(typed, 10).select(
+    return mips.nearest_vectors(typed, 10).select(
         F.col("left_id").alias("vec_id"), F.col("right_id").alias("similar_id"), F.col("score").alias("similarity"), "rank"
     )
 
