@@ -11,6 +11,7 @@ from ratingmill.operators import (
     evaluation,
     factor,
     hybrid,
+    itemsets,
     mips,
     neighbours,
     profile,
@@ -18,7 +19,7 @@ from ratingmill.operators import (
     splitting,
     text,
 )
-from ratingmill.plans.base import QUERIES, centred_of, lazy_train, query, rule_sql, split_of, sql, train_of
+from ratingmill.plans.base import QUERIES, centred_of, genre_rule_sql, lazy_train, query, rule_sql, split_of, sql, train_of
 from ratingmill.session import fresh_path, stage
 from ratingmill.sources import sinks
 from ratingmill.sources import tables as T
@@ -72,6 +73,61 @@ def user_rules(spark, folder):
     return _shown(rules.mine_rules(baskets))
 
 
+_LIKED_BY_ORDER = "SELECT l_orderkey AS owner, movieId FROM rating_rows WHERE rating >= 3.5"
+_LIKED_BY_USER = "SELECT userId AS owner, movieId FROM train WHERE rating >= 3.5"
+_ITEMSETS_TAIL = "SELECT items, freq AS frequency, round(support, 6) AS support FROM frequent"
+
+
+def _genre_order_itemsets(spark, folder):
+    lines = T.rating_rows(spark, folder).select(F.col("l_orderkey").alias("orderId"), "movieId", "rating")
+    baskets = stage(rules.build_baskets(lines, T.movies(spark, folder), owner="orderId"), "baskets")
+    return itemsets.frequent_itemsets(baskets, owner="orderId")
+
+
+@query(genre_rule_sql(_LIKED_BY_ORDER, 0.05, 0.4, _ITEMSETS_TAIL, "rating_rows"))
+def genre_itemsets(spark, folder):
+    """Itemsets of all genres of the liked movies of an order."""
+    found = _genre_order_itemsets(spark, folder)
+    return found.select(F.array_join("items", ", ").alias("items"), "frequency", S.rounded(F.col("support")).alias("support"))
+
+
+@query(genre_rule_sql(_LIKED_BY_ORDER, 0.05, 0.2, _RULES_TAIL, "rating_rows"))
+def genre_order_rules(spark, folder):
+    return _shown(rules.rules_by_lift(_genre_order_itemsets(spark, folder), 0.2))
+
+
+_MOST = 0.6  # support of rules over all genres: users like most of the genres there are
+
+
+def _common_genre_rules(baskets):
+    return rules.rules_by_lift(itemsets.frequent_itemsets(baskets, _MOST))
+
+
+@query(genre_rule_sql(_LIKED_BY_USER, _MOST, 0.4, _RULES_TAIL, "train"))
+def genre_user_rules(spark, folder):
+    """Rules between all genres a user likes; a basket holds most of them, so the support is that of most users."""
+    baskets = stage(rules.build_baskets(lazy_train(spark, folder), T.movies(spark, folder)), "baskets")
+    return _shown(_common_genre_rules(baskets))
+
+
+def _genre_segment_sql(name: str, bound: str) -> str:
+    liked = f"{_LIKED_BY_USER} AND userId IN (SELECT userId FROM means WHERE {bound})"
+    return genre_rule_sql(liked, _MOST, 0.4, _RULES_TAIL.replace("SELECT", f"SELECT '{name}' AS segment,", 1), "train", "means")
+
+
+@query(
+    f"SELECT * FROM ({_genre_segment_sql('Overall System', 'true')}) UNION ALL "
+    f"SELECT * FROM ({_genre_segment_sql('High-Rater Profile', 'm >= 3.0')}) UNION ALL "
+    f"SELECT * FROM ({_genre_segment_sql('Low-Rater Profile', 'm <= 2.5')})"
+)
+def genre_segmented_rules(spark, folder):
+    train = train_of(spark, folder)
+    found = rules.segmented_rules(
+        train, T.movies(spark, folder), profile.user_behaviour(train), high_mean=3.0, low_mean=2.5, mine=_common_genre_rules
+    )
+    return _shown(found)
+
+
 def _segment_sql(name: str, bound: str) -> str:
     owners = _USER_MASKS.replace("WHERE rating", f"WHERE t.userId IN (SELECT userId FROM means WHERE {bound}) AND rating")
     return rule_sql(owners, _RULES_TAIL.replace("SELECT", f"SELECT '{name}' AS segment,", 1), "train", "type_movies", "means")
