@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratingmill.functions import scalars as S
+from ratingmill.operators.quantiles import quantile
 from ratingmill.operators.ranking import with_position
 from ratingmill.params import DEFAULTS
 
@@ -38,16 +39,17 @@ def distinct_counts(ratings: DataFrame) -> DataFrame:
 
 
 def rating_moments(ratings: DataFrame) -> DataFrame:
+    """Mean, exact median and deviation; pass a staged table, the median reads it several times."""
     return ratings.agg(
         F.avg("rating").alias("mean_rating"),
-        F.median("rating").alias("median_rating"),
+        F.lit(quantile(ratings, "rating", 0.5)).alias("median_rating"),
         F.stddev_samp("rating").alias("std_rating"),
     )
 
 
 def percentile(df: DataFrame, column: str, share: float, name: str) -> DataFrame:
-    """Percentile with linear interpolation."""
-    return df.agg(F.percentile(column, F.lit(share)).alias(name))
+    """Exact percentile with linear interpolation: one row. Pass a staged table, it is read several times."""
+    return df.agg(F.lit(quantile(df, column, share)).cast("double").alias(name))
 
 
 def genre_frequency(movies: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from ratingmill.functions import scalars as S
 from ratingmill.operators import cleaning, olap, quality, splitting, warehouse
 from ratingmill.plans.base import cube_of, lazy_split, lazy_train, query, split_of, sql, star_of
 from ratingmill.session import fresh_path, stage
-from ratingmill.sources import readers, schemas, sinks
+from ratingmill.sources import buckets, readers, schemas, sinks
 from ratingmill.sources import tables as T
 
 
@@ -94,6 +94,25 @@ def upsert_by_key(spark, folder):
     return sinks.upsert(target, movies.filter("movieId % 3 = 0").unionByName(again), ["movieId"])
 
 
+@query(
+    sql(
+        """SELECT userId, movieId, CASE WHEN movieId % 100 = 7 THEN 5.0 WHEN movieId % 100 = 8 THEN 0.5 ELSE rating END AS rating
+           FROM ratings WHERE movieId % 100 <> 8 OR userId % 2 = 0""",
+        "ratings",
+    )
+)
+def incremental_upsert(spark, folder):
+    """A bucketed table of ratings after a small upsert and after missing rows were added."""
+    rows = stage(T.ratings(spark, folder).select("userId", "movieId", "rating"), "ratings")
+    kind = F.col("movieId") % 100
+    table = buckets.BucketTable(spark, fresh_path(spark, "bucketed"))
+    table.create(rows.filter(kind != 8), ["userId", "movieId"], 32)
+    table.upsert(rows.filter(kind == 7).withColumn("rating", F.lit(5.0)))
+    late = rows.filter((kind == 7) | ((kind == 8) & (F.col("userId") % 2 == 0)))
+    table.add_missing(late.withColumn("rating", F.lit(0.5)))
+    return table.read()
+
+
 _PAYLOAD_SQL = """
 SELECT doc_id AS movieId, md5(text) AS overview_md5,
   array_to_string(string_split(text, ' ')[1:5], '{sep}') AS "cast",
@@ -299,8 +318,8 @@ def split_global(spark, folder):
 @query(
     sql(
         """SELECT userId, movieId, is_train, m AS user_mean_rating, rating - m AS normalized_rating
-           FROM split LEFT JOIN means USING (userId)""",
-        "split", "means",
+           FROM (SELECT *, avg(rating) FILTER (is_train) OVER (PARTITION BY userId) AS m FROM split)""",
+        "split",
     )
 )
 def mean_centred(spark, folder):

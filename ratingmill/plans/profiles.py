@@ -66,7 +66,7 @@ def distinct_counts_and_ranges(spark, folder):
     )
 )
 def rating_moments(spark, folder):
-    return profile.rating_moments(T.ratings(spark, folder)).withColumn("std_rating", S.rounded(F.col("std_rating")))
+    return profile.rating_moments(stage(T.ratings(spark, folder).select("rating"), "ratings")).withColumn("std_rating", S.rounded(F.col("std_rating")))
 
 
 @query(sql("SELECT rating, count(*) AS n FROM ratings GROUP BY 1", "ratings"))
@@ -239,7 +239,7 @@ def degree_centrality(spark, folder):
     + "SELECT quantile_cont(weight, 0.85) AS weight_p85 FROM pairs"
 )
 def weight_percentile(spark, folder):
-    return profile.percentile(_pairs(spark, folder), "weight", 0.85, "weight_p85")
+    return profile.percentile(stage(_pairs(spark, folder), "pairs"), "weight", 0.85, "weight_p85")
 
 
 @query(
