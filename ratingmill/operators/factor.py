@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
-from pyspark import keyword_only
+from pyspark import inheritable_thread_target, keyword_only
 from pyspark.ml import Estimator, Model
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,7 +72,7 @@ class _FactorParams(Params):
 
 
 class BiasedFactors(Estimator, _FactorParams):
-    """Estimator over (userId, movieId, rating); works with CrossValidator."""
+    """Estimator over (userId, movieId, rating)."""
 
     @keyword_only
     def __init__(
@@ -192,27 +191,61 @@ class FactorModel(Model):
         )
 
 
+def _indexed(train: DataFrame, folds: int, damping: float) -> DataFrame:
+    """The ratings once, with dense ids, a fold by hash, and the baseline of each row for each fold that is held out."""
+    fold = F.pmod(F.xxhash64("userId", "movieId"), F.lit(folds)).cast("int").alias("fold")
+    rows = stage(train.select("userId", "movieId", "rating", fold), "folded")
+    for key in ("userId", "movieId"):
+        rows = rows.join(stage(index_ids(rows, key), f"{key}_index"), key)
+    for f in range(folds):
+        mean, users, items = biases(rows.filter(F.col("fold") != f), damping)
+        rows = baseline_scores(rows, mean, users, items).withColumnRenamed("cf_score", f"base_{f}")
+    return stage(rows.select("userId_index", "movieId_index", "rating", "fold", *[f"base_{f}" for f in range(folds)]), "indexed")
+
+
 def grid_search(
     train: DataFrame,
     ranks: Sequence[int] = GRID_RANKS,
     iterations: Sequence[int] = GRID_ITERATIONS,
     folds: int = 5,
-    parallelism: int = 2,
+    parallelism: int = 4,
 ) -> tuple[FactorModel, DataFrame]:
-    """Cross-validated RMSE per setting, and the best setting refitted on all rows."""
-    estimator = BiasedFactors()
-    grid = ParamGridBuilder().addGrid(estimator.rank, list(ranks)).addGrid(estimator.maxIter, list(iterations)).build()
-    search = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=grid,
-        evaluator=RegressionEvaluator(metricName="rmse", labelCol="rating", predictionCol="prediction"),
-        numFolds=folds,
-        seed=42,
-        parallelism=parallelism,
-    ).fit(train)
-    rows = [
-        (params[estimator.rank], params[estimator.maxIter], float(rmse))
-        for params, rmse in zip(grid, search.avgMetrics)
-    ]
-    table = train.sparkSession.createDataFrame(rows, "rank int, max_iter int, rmse double")
-    return search.bestModel, table
+    """Cross-validated RMSE per setting, and the best setting refitted on all rows.
+
+    All fits read one staged table: ids are indexed once, folds are a column, and the baselines of each fold are columns too. Fits of
+    different settings and folds run side by side; a fit with more iterations is not derived from one with fewer.
+    """
+    spark = train.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+    whole = BiasedFactors()
+    rows = _indexed(train, folds, whole.getOrDefault(whole.damping))
+    blocks = max(10, -(-rows.count() // BLOCK_RATINGS))
+
+    def squared_error(setting: tuple[int, int, int]) -> tuple[float, int]:
+        rank, steps, f = setting
+        als = ALS(
+            numUserBlocks=blocks, numItemBlocks=blocks, userCol="userId_index", itemCol="movieId_index", ratingCol="rest",
+            rank=rank, maxIter=steps, regParam=whole.getOrDefault(whole.regParam), seed=whole.getOrDefault(whole.seed), coldStartStrategy="nan",
+        )
+        own = rows.select("userId_index", "movieId_index", "rating", "fold", F.col(f"base_{f}").alias("base"))
+        kept = own.filter(F.col("fold") != f).withColumn("rest", F.col("rating") - F.col("base"))
+        fixed = kept.repartition(blocks, "userId_index", "movieId_index").sortWithinPartitions("userId_index", "movieId_index")
+        scored = als.fit(fixed).setPredictionCol("_rest").transform(own.filter(F.col("fold") == f))
+        estimate = S.clip_rating(F.col("base") + F.nanvl(F.col("_rest").cast("double"), F.lit(0.0)))
+        total = scored.agg(F.coalesce(F.sum(F.pow(F.col("rating") - estimate, F.lit(2.0))), F.lit(0.0)), F.count("*"))
+        return tuple(total.first())
+
+    settings = [(r, i, f) for r in ranks for i in iterations for f in range(folds)]
+    with ThreadPool(parallelism) as pool:
+        errors = dict(zip(settings, pool.map(inheritable_thread_target(spark)(squared_error), settings, chunksize=1)))
+    table = []
+    for r in ranks:
+        for i in iterations:
+            parts = [errors[r, i, f] for f in range(folds)]
+            # Mean over the folds of their root mean squared errors.
+            held = [(e / n) ** 0.5 for e, n in parts if n]
+            table.append((r, i, sum(held) / len(held) if held else float("nan")))
+    best = min(table, key=lambda row: (row[2], row[0], row[1]))
+    model = BiasedFactors(rank=best[0], maxIter=best[1]).fit(train)
+    return model, spark.createDataFrame(table, "rank int, max_iter int, rmse double")

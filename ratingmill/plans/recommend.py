@@ -347,8 +347,6 @@ def dense_feature_rows(spark, folder):
 
 # --- factor model --------------------------------------------------------------------------
 
-_SMALL = {"rank": 10, "maxIter": 8}
-
 
 @query(
     sql(
@@ -366,7 +364,7 @@ def bias_baseline(spark, folder):
 @query()
 def factor_predictions(spark, folder):
     split = split_of(spark, folder)
-    model = factor.BiasedFactors(**_SMALL).fit(splitting.train_rows(split))
+    model = factor.BiasedFactors().fit(splitting.train_rows(split))
     return model.transform(splitting.test_rows(split).select("userId", "movieId", "rating"))
 
 
@@ -374,13 +372,13 @@ def factor_predictions(spark, folder):
 def factor_recs(spark, folder):
     split = split_of(spark, folder)
     train = splitting.train_rows(split)
-    model = factor.BiasedFactors(**_SMALL).fit(train)
+    model = factor.BiasedFactors().fit(train)
     return model.recommend(train, splitting.test_rows(split).select("userId").distinct())
 
 
 @query()
 def factor_grid_search(spark, folder):
-    _, table = factor.grid_search(train_of(spark, folder), ranks=(4, 8), iterations=(3, 5), folds=3)
+    _, table = factor.grid_search(train_of(spark, folder))
     return table
 
 
@@ -388,7 +386,7 @@ def factor_grid_search(spark, folder):
 def factor_model_store(spark, folder):
     """A saved and reloaded model predicts the same."""
     split = split_of(spark, folder)
-    model = factor.BiasedFactors(**_SMALL).fit(splitting.train_rows(split))
+    model = factor.BiasedFactors().fit(splitting.train_rows(split))
     path = fresh_path(spark, "factor_model")
     model.save(path)
     pairs = splitting.test_rows(split).select("userId", "movieId")
@@ -431,7 +429,7 @@ def _factor_scored(spark, folder, split, model):
 def alpha_sweep_factors(spark, folder):
     """Factor model against content over the whole test part."""
     split = split_of(spark, folder)
-    model = factor.BiasedFactors(**_SMALL).fit(splitting.train_rows(split))
+    model = factor.BiasedFactors().fit(splitting.train_rows(split))
     return hybrid.alpha_sweep(_factor_scored(spark, folder, split, model))
 
 
@@ -466,7 +464,7 @@ def routed_scores(spark, folder):
 
 def _hybrid(spark, folder, split):
     train = splitting.train_rows(split)
-    model = factor.BiasedFactors(**_SMALL).fit(train)
+    model = factor.BiasedFactors().fit(train)
     users = splitting.test_rows(split).select("userId").distinct()
     alpha = _tuned(_factor_scored(spark, folder, split, model))
     return hybrid.hybrid_recommendations(model, train, users, _features(spark, folder), alpha)
@@ -561,7 +559,7 @@ def _all_family_scores(spark, folder):
     """As ``_family_scores`` with the factor model and the routed hybrid of factors and content."""
     split = split_of(spark, folder)
     train = splitting.train_rows(split)
-    model = factor.BiasedFactors(**_SMALL).fit(train)
+    model = factor.BiasedFactors().fit(train)
     scored = model.transform(_family_scores(spark, folder, split)).withColumnsRenamed({"cf_score": "baseline", "prediction": "cf_score"})
     scored = stage(scored, "factors")
     routed = hybrid.routed_scores(scored, profile.count_per(train, "userId"), _tuned(scored))
