@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -218,9 +219,15 @@ def quality_summary(ratings: DataFrame, movies: DataFrame) -> DataFrame:
     return parts
 
 
-def column_types(df: DataFrame, name: str) -> list[tuple[str, str, str]]:
-    """Column types of a table for the quality report; schema only, no job."""
-    return [(name, column, dtype) for column, dtype in df.dtypes]
+def column_types(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Type and number of known values of every column: (table_name, column_name, column_type, known)."""
+    names = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
+    parts = []
+    for name, df in tables.items():
+        types = F.create_map(*[F.lit(x) for c, t in df.dtypes for x in (c, names.get(t, t.upper()))])
+        counts = df.agg(*[F.count(c).alias(c) for c in df.columns]).unpivot([], df.columns, "column_name", "known")
+        parts.append(counts.select(F.lit(name).alias("table_name"), "column_name", types[F.col("column_name")].alias("column_type"), "known"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def collection_summary(movies: DataFrame, ratings: DataFrame, attempts: DataFrame) -> DataFrame:

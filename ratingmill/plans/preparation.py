@@ -28,6 +28,30 @@ def csv_scan(spark, folder):
     return ratings.filter("rating >= 3.5").join(movies, "movieId").select("userId", "movieId", "rating", "title")
 
 
+@query(
+    sql(
+        """SELECT movieId, imdbId, md5(overview) AS overview_md5, "cast", tags FROM links LEFT JOIN metadata USING (movieId)
+           LEFT JOIN (SELECT l_partkey AS movieId, string_agg(DISTINCT l_returnflag || ', ' || l_linestatus, '|' ORDER BY l_returnflag || ', ' || l_linestatus) AS tags
+                      FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1) USING (movieId)""",
+        "links", "metadata",
+    )
+)
+def csv_scan_catalogue(spark, folder):
+    """Links, tags and metadata, whose texts hold commas, quotes and line breaks, written as CSV and scanned with declared schemas."""
+    path = fresh_path(spark, "csv")
+    columns = [F.lit(None).cast("string").alias(c) for c in ("poster_url", "original_language")]
+    sinks.write_csv(T.links(spark, folder), f"{path}/links")
+    sinks.write_csv(T.tags(spark, folder), f"{path}/tags")
+    sinks.write_csv(T.metadata(spark, folder).select("*", *columns), f"{path}/metadata")
+    links = readers.read_csv(spark, f"{path}/links", schemas.LINKS)
+    tags = readers.read_csv(spark, f"{path}/tags", schemas.TAGS)
+    metadata = readers.read_csv(spark, f"{path}/metadata", schemas.METADATA, multi_line=True)
+    # Two values at most: a tag is a flag and a status.
+    named = tags.groupBy("movieId").agg(F.array_join(F.array_sort(F.collect_set("tag")), "|").alias("tags"))
+    joined = links.join(metadata, "movieId", "left").join(named, "movieId", "left")
+    return joined.select("movieId", "imdbId", F.md5("overview").alias("overview_md5"), "cast", "tags")
+
+
 @query(sql("SELECT movieId, title, '' AS overview, 'Unknown' AS \"cast\", 'Unknown Director' AS director FROM movies", "movies"))
 def optional_source(spark, folder):
     """An absent metadata file behaves as an empty table; its columns get their defaults."""

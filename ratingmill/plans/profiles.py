@@ -277,3 +277,16 @@ def collection_summary(spark, folder):
     movies = T.movies(spark, folder)
     attempts = movies.select("movieId").join(T.metadata(spark, folder), "movieId", "left")
     return profile.collection_summary(movies, T.ratings(spark, folder), attempts)
+
+
+def _types_sql(table: str, columns: tuple[str, ...]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name, any_value(typeof({c})) AS column_type, count({c}) AS known FROM {table}" for c in columns
+    )
+
+
+@query(sql(f"{_types_sql('ratings', ('userId', 'movieId', 'rating'))} UNION ALL {_types_sql('movies', ('movieId', 'title', 'genres'))}", "ratings", "movies"))
+def column_type_summary(spark, folder):
+    """Types and known values of the columns of both tables."""
+    ratings = T.ratings(spark, folder).select("userId", "movieId", "rating")
+    return profile.column_types({"ratings": ratings, "movies": T.movies(spark, folder)})

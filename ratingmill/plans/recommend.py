@@ -376,6 +376,42 @@ def factor_recs(spark, folder):
     return model.recommend(train, splitting.test_rows(split).select("userId").distinct())
 
 
+def _list_facts(recs, users, train):
+    """What any set of lists must hold: one row."""
+    seen = recs.join(train.select("userId", "movieId"), ["userId", "movieId"], "left_semi").count()
+    per_user = recs.groupBy("userId").agg(
+        F.count("*").alias("n"), F.count_distinct("rank").alias("ranks"), F.max("rank").alias("deepest"), F.count_distinct("movieId").alias("movies")
+    )
+    odd = per_user.filter("n <> ranks OR n <> deepest OR n <> movies").count()
+    strangers = per_user.join(users, "userId", "left_anti").count()
+    return recs.agg(
+        F.count_distinct("userId").alias("users"),
+        F.count("*").alias("listed"),
+        F.count_if((F.col("predicted_rating") < 0.5) | (F.col("predicted_rating") > 5)).alias("out_of_range"),
+        F.lit(seen).cast("bigint").alias("seen"),
+        F.lit(odd).cast("bigint").alias("odd_lists"),
+        F.lit(strangers).cast("bigint").alias("strangers"),
+    )
+
+
+_LIST_FACTS = """SELECT count(DISTINCT userId) AS users, sum(least(10, free))::BIGINT AS listed, 0::BIGINT AS out_of_range, 0::BIGINT AS seen,
+  0::BIGINT AS odd_lists, 0::BIGINT AS strangers FROM (SELECT userId, count(*) AS free FROM unseen GROUP BY 1)"""
+
+
+@query(sql(_LIST_FACTS, "unseen"))
+def factor_list_facts(spark, folder):
+    """Lists of the factor model: every test user with factors has ten unseen movies, ranked without gaps."""
+    split = split_of(spark, folder)
+    train, users = splitting.train_rows(split), splitting.test_rows(split).select("userId").distinct()
+    return _list_facts(stage(factor.BiasedFactors().fit(train).recommend(train, users), "recs"), users, train)
+
+
+@query(sql("SELECT userId, row_number() OVER (ORDER BY userId) - 1 AS userId_index FROM (SELECT DISTINCT userId FROM train)", "train"))
+def dense_user_index(spark, folder):
+    """Dense numbers of the users as the factor model takes them."""
+    return factor.index_ids(lazy_train(spark, folder), "userId").withColumn("userId_index", F.col("userId_index").cast("bigint"))
+
+
 @query()
 def factor_grid_search(spark, folder):
     _, table = factor.grid_search(train_of(spark, folder))
@@ -475,6 +511,20 @@ def hybrid_recs(spark, folder):
     return _hybrid(spark, folder, split_of(spark, folder))
 
 
+@query()
+def boosted_hybrid_recs(spark, folder):
+    """The whole chain: tuned weight, hybrid lists, the rule boost over all genres, and the lists of every collaborative method beside them."""
+    split = split_of(spark, folder)
+    train, users = splitting.train_rows(split), splitting.test_rows(split).select("userId").distinct()
+    movies = T.movies(spark, folder)
+    recs = stage(_hybrid(spark, folder, split), "hybrid")
+    found = rules.rules_by_lift(_genre_order_itemsets(spark, folder), 0.0)
+    boosted = hybrid.boost_with_rules(recs, rules.favourite_genre(train, movies), found, movies, train)
+    centred = neighbours.centred_train(train)
+    by_factors = factor.BiasedFactors().fit(train).recommend(train, users)
+    return neighbours.pool(boosted, neighbours.user_based(centred, users), neighbours.item_based(centred, users), by_factors)
+
+
 _BOOST = rule_sql(_ORDER_MASKS, "", "rating_rows", "type_movies", "ubcf", "train").rstrip() + f""",
 best AS (SELECT antecedents AS genre, consequents AS consequent FROM (
   SELECT *, row_number() OVER (PARTITION BY antecedents ORDER BY round(lift, 6) DESC, consequents) AS k FROM rules WHERE na = 1 AND nc = 1)

@@ -78,6 +78,15 @@ def links(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def tags(spark: SparkSession, folder: str) -> DataFrame:
+    """One tag per order line of a returned item, named by its flag and status."""
+    rows = table(spark, folder, "lineitem").filter("l_returnflag = 'R'")
+    seconds = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', l_shipdate)")
+    return rows.select(
+        F.col("l_suppkey").alias("userId"), F.col("l_partkey").alias("movieId"), F.concat_ws(", ", "l_returnflag", "l_linestatus").alias("tag"), seconds.alias("timestamp")
+    )
+
+
 def payloads(spark: SparkSession, folder: str) -> DataFrame:
     """One metadata payload per document: every word is a cast name, the source is the crew."""
     words = F.split("text", " ")

@@ -1,6 +1,6 @@
 """Registered queries against their SQL on the smallest tables.
 
-The slow ones run with RUN_SLOW=1, or all of them with ``python -m ratingmill.plans.check sf0.01``.
+Four run with RUN_SLOW=1 only, or all of them with ``python -m ratingmill.plans.check sf0.01``.
 """
 
 import os
@@ -12,12 +12,8 @@ from ratingmill.plans import all_queries
 from ratingmill.plans.check import TABLES, rows_of
 
 FOLDER = "/root/testdata/sf0.001"
-SLOW = set(
-    """accuracy alpha_sweep alpha_sweep_factors best_alpha catalog_coverage content_pair_scores dense_feature_sample
-    factor_grid_search factor_model_store factor_recs hybrid_recs item_feature_table list_diversity metrics_melt
-    metrics_report paired_t_test_p_value pooled_recs recommendation_listing routed_scores segmented_rules serendipity
-    user_neighbours user_profiles warehouse_tables foreign_key_orphans""".split()
-)
+# Many full-size factor fits each.
+SLOW = {"factor_grid_search", "boosted_hybrid_recs", "accuracy_with_factors", "paired_t_test_p_value"}
 
 
 @pytest.fixture(scope="module")
