@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ratingmill.functions import scalars as S
-from ratingmill.operators import profile, warehouse
+from ratingmill.operators import profile, sketches, warehouse
 from ratingmill.plans.base import lazy_train, query, sql, train_of
 from ratingmill.session import stage
 from ratingmill.sources import tables as T
@@ -290,3 +290,21 @@ def column_type_summary(spark, folder):
     """Types and known values of the columns of both tables."""
     ratings = T.ratings(spark, folder).select("userId", "movieId", "rating")
     return profile.column_types({"ratings": ratings, "movies": T.movies(spark, folder)})
+
+
+@query(
+    sql(
+        """SELECT year(DATE '1970-01-01' + CAST(ts // 86400 AS INTEGER))::INTEGER AS period, count(DISTINCT userId) AS users, count(DISTINCT movieId) AS movies,
+             true AS users_close, true AS movies_close FROM ratings GROUP BY 1""",
+        "ratings",
+    )
+)
+def distinct_counts_by_year(spark, folder):
+    """Distinct users and movies per year, and whether the estimates from stored daily sketches are within 3 %."""
+    ratings = stage(T.ratings(spark, folder), "ratings")
+    daily = stage(sketches.daily_sketches(ratings), "sketches")
+    estimates = sketches.distinct_in(daily, F.year("day")).withColumnsRenamed({"users": "_users", "movies": "_movies"})
+    year = F.year(S.epoch_date(F.col("timestamp"))).alias("period")
+    exact = ratings.groupBy(year).agg(F.count_distinct("userId").alias("users"), F.count_distinct("movieId").alias("movies"))
+    close = [(F.abs(F.col(f"_{c}") - F.col(c)) <= F.col(c) * 0.03).alias(f"{c}_close") for c in ("users", "movies")]
+    return exact.join(estimates, "period").select("period", "users", "movies", *close)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ratingmill.functions import scalars as S
 from ratingmill.operators import (
+    components,
     content,
     evaluation,
     factor,
@@ -331,6 +332,19 @@ def principal_components(spark, folder):
     )
 
 
+@query()
+def feature_components(spark, folder):
+    """Every movie on the first two components of its sparse features, with the share of variance of each."""
+    rows, shares = components.sparse_components(_features(spark, folder))
+    return rows.select(
+        F.col("id").alias("movieId"),
+        "component_1",
+        "component_2",
+        F.lit(shares[0]).alias("variance_share_1"),
+        F.lit(shares[1]).alias("variance_share_2"),
+    )
+
+
 @query(
     sql(
         """SELECT id AS movieId, CAST((SELECT count(DISTINCT feature) FROM features) AS INTEGER) AS width,
