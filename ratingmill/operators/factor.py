@@ -220,7 +220,8 @@ def grid_search(
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     whole = BiasedFactors()
     rows = _indexed(train, folds, whole.getOrDefault(whole.damping))
-    blocks = max(10, -(-rows.count() // BLOCK_RATINGS))
+    # Several fits share the cores, so one fit takes as few blocks as its ratings need.
+    blocks = max(2, -(-rows.count() // BLOCK_RATINGS))
 
     def squared_error(setting: tuple[int, int, int]) -> tuple[float, int]:
         rank, steps, f = setting

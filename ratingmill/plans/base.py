@@ -381,11 +381,11 @@ rules AS MATERIALIZED (
 
 
 def genre_rule_sql(owner: str, support: float, confidence: float, tail: str, *needs: str) -> str:
-    """Rules of baskets of all genres: masks of genres, larger itemsets grown from frequent ones, followed by ``tail``."""
+    """Rules of baskets of all genres: masks of genres, larger itemsets grown from frequent ones up to all 22 genres, followed by ``tail``."""
     grown = ",\n".join(
         f"""f{k} AS MATERIALIZED (SELECT a.s | i.s AS s, sum(c)::BIGINT AS freq FROM f{k - 1} a JOIN f1 i ON i.s > a.s JOIN grouped ON mask & (a.s | i.s) = a.s | i.s
   GROUP BY 1 HAVING sum(c) >= (SELECT {support} * n FROM baskets))"""
-        for k in range(2, 9)
+        for k in range(2, 23)
     )
     return sql("", *needs, "movie_genres").rstrip() + f""",
 bits AS MATERIALIZED (SELECT genre, row_number() OVER (ORDER BY genre) - 1 AS bit FROM (SELECT DISTINCT genre FROM movie_genres)),
@@ -396,7 +396,7 @@ baskets AS (SELECT count(*) AS n FROM masks),
 f1 AS MATERIALIZED (SELECT 1::BIGINT << bit AS s, sum(c)::BIGINT AS freq FROM bits JOIN grouped ON (mask >> bit) & 1 = 1 GROUP BY 1
   HAVING sum(c) >= (SELECT {support} * n FROM baskets)),
 {grown},
-sets AS ({" UNION ALL ".join(f"SELECT * FROM f{k}" for k in range(1, 9))}),
+sets AS ({" UNION ALL ".join(f"SELECT * FROM f{k}" for k in range(1, 23))}),
 frequent AS MATERIALIZED (
   SELECT s, freq, freq / n AS support, (SELECT string_agg(genre, ', ' ORDER BY bit) FROM bits WHERE (s >> bit) & 1 = 1) AS items FROM sets, baskets),
 rules AS MATERIALIZED (
