@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratingmill.llm import words as W
+from ratingmill.llm.hot_keys import join_counted
 from ratingmill.llm.line_dedup import with_text_id
 from ratingmill.llm.suffix_sort import suffix_order
 from ratingmill.session import stage
@@ -200,8 +201,10 @@ def repeated_spans(src: DataFrame, packed: DataFrame, match: int = MATCH, hot: i
     grams = src.select(*KEY, "text").mapInArrow(_grams(match), "_id bigint, text_id bigint, grams array<bigint>")
     grams = stage(grams.withColumn("row", F.monotonically_increasing_id()), "grams")
     each = grams.select("row", F.explode("grams").alias("gram"))
-    again = each.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
-    wanted = each.join(again, "gram").groupBy("row").agg(F.collect_set("gram").alias("grams"))
+    again = stage(each.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1"), "again")
+    total = grams.agg(F.coalesce(F.sum(F.size("grams")), F.lit(0))).first()[0]
+    # A substring that very many texts hold is not sent to one task.
+    wanted = join_counted(each, again, ["gram"], total).groupBy("row").agg(F.collect_set("gram").alias("grams"))
     # Rows that repeat a text share its row number, and stay as many.
     names = grams.groupBy(*KEY).agg(F.min("row").alias("row"))
     wanted = stage(wanted.join(names, "row"), "wanted")
