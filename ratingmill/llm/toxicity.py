@@ -131,7 +131,9 @@ def clean_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
 
 
 def held_out(doc_id: str | Column = "doc_id") -> Column:
-    return F.pmod(F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")), F.lit(5)) == 0
+    """Whether a row is kept from training; one without doc_id has no label and counts as held out."""
+    name = (F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string")
+    return F.coalesce(F.pmod(F.crc32(name), F.lit(5)) == 0, F.lit(True))
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
