@@ -226,6 +226,47 @@ def test_low_orders_predict_and_weights_follow_a_whole_text():
     assert head[1] - head[0] < 0.8 * head[0] and head[2] - head[1] < head[1] - head[0]
 
 
+def test_costs_equal_a_plain_coder():
+    """Bits of a few texts, coded bit by bit in plain Python from the definition of contexts, slots, gates and steps."""
+    M = lm_mixing
+    rng = np.random.default_rng(3)
+    tree = M.code_trees(rng.integers(0, 9, (256, 256)))
+    odds = [rng.normal(0, 2, 1 << b).astype(np.float16) for b in (12, 13, 14, 12)]
+    texts = [b"\n", b"a bc\n", b"the cat and the dog " * 60 + b"\n", bytes(rng.integers(97, 101, 500).astype(np.uint8)) + b"\n"]
+    stream = np.frombuffer(b"".join(texts), np.uint8)
+    begin = np.cumsum([0] + [len(t) for t in texts])
+    got = M.Mixer(tree, odds, (np.zeros(0, np.uint64), np.zeros(0, np.int64))).costs(stream, begin)
+    words = M.context_hashes(stream, begin)[-1]  # hashes of spans have tests of their own
+    for text, first, cost in zip(texts, begin, got):
+        bits = []
+        for i, byte in enumerate(text):
+            past = b"\n" * 6 + text[:i]
+            contexts = [int.from_bytes(past[: -k - 1 : -1], "little") << 16 for k in M.ORDERS] + [int(words[first + i])]
+            pair = past[-1] * 256 + byte
+            for step in range(tree[0][pair], tree[0][pair + 1]):
+                x = []
+                for c, table in zip(contexts, odds):
+                    h = c * 0xC2B2AE3D27D4EB4F % 2**64
+                    h = (h ^ h >> 32) * 0xD6E8FEB86659FD93 % 2**64
+                    x.append(float(table[(h * len(table) >> 64) ^ int(tree[1][step]) % 256]))
+                bits.append((x, sum(abs(x[-1]) > b for b in M.GATE_BOUNDS), 1 if tree[2][step] else -1))
+        weights, scale, offset, total, low = [list(w) for w in M.START_WEIGHTS], 1.0, 0.0, 0.0, 0
+        while low < len(bits):
+            size = min(max(M.BLOCK, low // M.GROWTH), M.LONGEST)
+            slower, moved, stretch, shift = (M.BLOCK / size) ** 0.5, [[0.0] * M.CONTEXTS for _ in weights], 0.0, 0.0
+            for x, g, y in bits[low : low + size]:
+                s = sum(a * b for a, b in zip(weights[g], x))
+                p = 1 / (1 + math.exp(-y * (scale * s + offset)))
+                total -= math.log2(p)
+                miss = y * (1 - p)
+                moved[g] = [m + miss * v for m, v in zip(moved[g], x)]
+                stretch, shift = stretch + miss * s, shift + miss
+            weights = [[w + M.RATE * slower * m for w, m in zip(*both)] for both in zip(weights, moved)]
+            scale, offset = scale + M.REFINE_RATE * slower / M.BLOCK * stretch, offset + M.REFINE_RATE * slower * shift
+            low += size
+        assert math.isclose(cost, total, rel_tol=1e-5)
+
+
 # --- licences ------------------------------------------------------------------------------
 
 
