@@ -5,6 +5,7 @@ import time
 from pyspark.sql import functions as F
 
 from ratingmill.operators import content
+from ratingmill.operators.factor import BiasedFactors
 from ratingmill.operators.vectors import packed, weighted_sums
 from ratingmill.session import stage
 
@@ -43,6 +44,16 @@ def test_stage_twice_gives_the_same(spark):
     assert sorted(map(tuple, first.collect())) == sorted(map(tuple, second.collect())) == sorted(map(tuple, rows.collect()))
 
 
+def test_factor_fit_leaves_no_files_of_earlier_iterations(spark):
+    rows = spark.range(400).select((F.col("id") % 20).alias("userId"), (F.col("id") % 21).alias("movieId"), (F.col("id") % 5 + 1.0).alias("rating"))
+    made = []
+    for steps in (2, 9):
+        before = _shuffle_files(spark)
+        BiasedFactors(rank=2, maxIter=steps, blocks=2).fit(rows)
+        made.append(len(_left_behind(spark, before, made[0] if made else 0)))
+    assert made[1] <= made[0] + 4
+
+
 def _features(spark):
     rows = [(1, 1, 1.0), (1, 3, 0.5), (2, 2, 2.0), (3, 1, 1.5), (3, 2, 0.25), (3, 3, 1.0)]
     return spark.createDataFrame(rows, "id bigint, feature bigint, weight double")
