@@ -3,8 +3,9 @@
 import numpy as np
 import pytest
 
-from ratingmill.operators import blocked
+from ratingmill.operators import blocked, content, sampled
 from ratingmill.operators.blocked import BlockPlan, blocked_topk, cosine_topk
+from ratingmill.session import stage, stage_alone
 
 ROUNDS = BlockPlan(left_ids=7, right_ids=5, entries=40, held_ids=9, shipped=1)
 
@@ -76,3 +77,43 @@ def test_null_features_are_shared_with_nothing(spark):
     rows = spark.createDataFrame([(1, 5, 1.0), (2, 5, 1.0), (3, None, 1.0)], "id long, feature long, weight double")
     found = blocked_topk(rows, rows, 5, skip_self=True)
     assert _got(found) == {1: [(2, 1.0), (3, 0.0)], 2: [(1, 1.0), (3, 0.0)], 3: [(1, 0.0), (2, 0.0)]}
+
+
+def test_listed_pairs_in_rounds(spark):
+    """Every pair once, whatever the round of its left id."""
+    a, b = _sparse(4, 50, 30, 0.2), _sparse(5, 40, 30, 0.2)
+    pairs = [(i, j) for i in range(50) for j in range(40) if (i + j) % 3 == 0]
+    cells = spark.createDataFrame(pairs, "id long, key long")
+    left, right = _long(spark, a), _long(spark, b)
+    assert sampled._rounds(left, right, cells, ROUNDS) > 3
+    got = {(r.id, r.key): r.score for r in sampled.sampled_scores(left, right, cells, plan=ROUNDS).collect()}
+    scores = np.round(a @ b.T, 6)
+    assert got.keys() == set(pairs) and all(abs(got[i, j] - scores[i, j]) < 2e-6 for i, j in pairs)
+
+
+def test_content_lists_in_rounds(spark, monkeypatch):
+    """Users taken in rounds get the lists of one round."""
+    rng = np.random.default_rng(6)
+    rows = [(u, int(m), float(rng.integers(1, 6)), 0) for u in range(40) for m in rng.choice(30, 5, replace=False)]
+    train = spark.createDataFrame(rows, "userId long, movieId long, rating double, timestamp long")
+    features = _long(spark, np.abs(_sparse(7, 30, 12, 0.4)) + np.eye(30, 12))
+    users = train.select("userId").distinct()
+    few = BlockPlan(shipped=1)
+    written, alone = [], content.stage_alone
+    monkeypatch.setattr(content, "stage_alone", lambda build, label: written.append(label) or alone(build, label))
+    with_rounds = content.content_based(train, users, features, 4, few).collect()
+    assert len(written) > 1
+    assert sorted(map(tuple, with_rounds)) == sorted(map(tuple, content.content_based(train, users, features, 4).collect()))
+
+
+def test_stage_alone_keeps_only_its_result(spark):
+    inner = []
+
+    def build():
+        inner.append(stage(spark.range(5), "inner"))
+        return stage_alone(lambda: inner[0].selectExpr("id + 1 AS id"), "nested").selectExpr("id * 2 AS id")
+
+    kept = stage_alone(build, "kept")
+    assert sorted(r.id for r in kept.collect()) == [2, 4, 6, 8, 10]
+    with pytest.raises(Exception):
+        inner[0].collect()
