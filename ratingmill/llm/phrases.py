@@ -17,7 +17,6 @@ space and tab within a piece, A-Z folded; an empty table gives an empty result;
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +27,7 @@ from pyspark.sql import functions as F
 from ratingmill.llm import quotient_filter as Q
 from ratingmill.llm.hot_keys import join_counted, look_up
 from ratingmill.operators.ranking import top_per_group, with_position
-from ratingmill.session import stage
+from ratingmill.session import stage, unstage
 
 LEAST = 100
 LONGEST = 5
@@ -44,14 +43,6 @@ _TABLE = bytes(
 )
 
 
-def _packed(values: np.ndarray) -> bytes:
-    return zlib.compress(np.ascontiguousarray(values).tobytes(), 1)
-
-
-def _unpacked(data: bytes, kind) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(data), kind)
-
-
 def _parts(text: bytes, size: int) -> Iterator[bytes]:
     """A translated text in parts of about ``size`` bytes, cut between pieces only."""
     low = 0
@@ -86,7 +77,7 @@ class _Chunk:
     def row(self, lang: str) -> tuple:
         self.flush()
         found = np.concatenate(self.found)
-        return lang, _packed(found), list(self.numbers)[1:], np.bincount(found, minlength=len(self.numbers))[1:]
+        return lang, Q.pack(found), list(self.numbers)[1:], np.bincount(found, minlength=len(self.numbers))[1:]
 
 
 _CHUNKS = "lang string, tokens binary, words array<binary>, counts array<bigint>"
@@ -119,18 +110,18 @@ def _renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Local word numbers replaced by those of the frequent words, 0 for all others."""
     for batch in batches:
         for row in range(batch.num_rows):
-            tokens = _unpacked(batch.column("tokens")[row].as_py(), np.int32)
+            tokens = Q.unpack(batch.column("tokens")[row].as_py(), np.int32)
             names = batch.column("names")[row].values
             number = np.zeros(int(tokens.max(initial=0)) + 1, np.int64)
             number[names.field("local").to_numpy()] = names.field("id").to_numpy()
-            words, grams = pa.array([_packed(number[tokens])], pa.binary()), pa.nulls(1, pa.binary())
+            words, grams = pa.array([Q.pack(number[tokens])], pa.binary()), pa.nulls(1, pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("chunk").slice(row, 1), words, grams], ["chunk", "words", "grams"])
 
 
 def _keys(words: bytes, grams: bytes | None, length: int, word_bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word numbers of a chunk, where its candidate phrases start, and their packed keys. Without ``grams`` the words are the heads."""
-    numbers = _unpacked(words, np.int64)
-    heads = numbers if grams is None else _unpacked(grams, np.int64)
+    numbers = Q.unpack(words, np.int64)
+    heads = numbers if grams is None else Q.unpack(grams, np.int64)
     at = np.flatnonzero((heads[:-1] > 0) & (heads[1:] > 0)) if len(heads) else np.zeros(0, np.int64)
     packed = heads[at].astype(np.uint64) << np.uint64(word_bits) | numbers[at + length - 1].astype(np.uint64)
     return numbers, at, packed
@@ -160,11 +151,11 @@ def _filters(length: int, word_bits: int, bits: int, shard_bits: int):
     return run
 
 
-_MERGED = "chunk bigint, shard bigint, entries binary, heads array<bigint>, lasts array<bigint>, counts array<bigint>"
+_MERGED = "chunk bigint, shard bigint, known binary, places binary, heads array<bigint>, lasts array<bigint>, counts array<bigint>"
 
 
 def _merged(least: int, word_bits: int, bits: int, shard_bits: int):
-    """The frequent phrases of a shard, and for each of its chunks the places of its entries among them (-1: not frequent)."""
+    """The frequent phrases of a shard, and for each of its chunks the bits of its entries that are among them, with their places as gaps."""
     permuted = Q.Permutation(bits)
 
     def run(table: pa.Table) -> pa.Table:
@@ -174,15 +165,17 @@ def _merged(least: int, word_bits: int, bits: int, shard_bits: int):
         use = counts >= least
         keys, counts = keys[use], counts[use]
         whole = permuted.inverse(keys | np.uint64(shard << (bits - shard_bits)))
-        out = [(None, shard, None, (whole >> np.uint64(word_bits)).astype(np.int64), (whole & np.uint64((1 << word_bits) - 1)).astype(np.int64), counts)]
+        out = [(None, shard, None, None, (whole >> np.uint64(word_bits)).astype(np.int64), (whole & np.uint64((1 << word_bits) - 1)).astype(np.int64), counts)]
         for chunk, (own, _) in zip(table["chunk"].to_pylist(), filters):
             place = np.searchsorted(keys, own)
             known = place < len(keys)
             known[known] = keys[place[known]] == own[known]
             if known.any():
-                out.append((chunk, shard, _packed(np.where(known, place, -1).astype(np.int32)), None, None, None))
-        kinds = [pa.int64(), pa.int64(), pa.binary(), *[pa.list_(pa.int64())] * 3]
-        names = ["chunk", "shard", "entries", "heads", "lasts", "counts"]
+                # Entries are sorted as the phrases are, so places only rise.
+                gaps = np.diff(place[known], prepend=-1) - 1
+                out.append((chunk, shard, Q.pack(np.packbits(known)), Q.pack(gaps), None, None, None))
+        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), *[pa.list_(pa.int64())] * 3]
+        names = ["chunk", "shard", "known", "places", "heads", "lasts", "counts"]
         return pa.table({n: pa.array(list(c), t) for n, c, t in zip(names, zip(*out), kinds)})
 
     return run
@@ -202,8 +195,9 @@ def _advanced(length: int, word_bits: int, bits: int, shard_bits: int):
                 ids = np.zeros(len(keys), np.int64)
                 for reply in replies:
                     own = int(np.searchsorted(shards, reply["shard"]))
-                    place = _unpacked(reply["entries"], np.int32).astype(np.int64)
-                    ids[begin[own] : begin[own + 1]] = np.where(place < 0, 0, (place << shard_bits | reply["shard"]) + 1)
+                    here = ids[begin[own] : begin[own + 1]]
+                    place = np.cumsum(Q.unpack(reply["places"], np.int64) + 1) - 1
+                    here[np.unpackbits(Q.unpack(reply["known"], np.uint8), count=len(here)) == 1] = (place << shard_bits | reply["shard"]) + 1
                 found = np.zeros(len(numbers), np.int64)
                 found[at] = ids[np.searchsorted(keys, every)]
                 both = np.flatnonzero((found[:-1] > 0) & (found[1:] > 0))
@@ -212,14 +206,17 @@ def _advanced(length: int, word_bits: int, bits: int, shard_bits: int):
                 for k in range(length + 1):
                     kept[both + k] = True
                 # What follows a run is not part of a phrase, so the last kept starts hold 0 and part it from the next run.
-                columns = [pa.array([chunk]), *(pa.array([_packed(x[kept])], pa.binary()) for x in (numbers, np.where(used, found, 0)))]
+                columns = [pa.array([chunk]), *(pa.array([Q.pack(x[kept])], pa.binary()) for x in (numbers, np.where(used, found, 0)))]
                 yield pa.RecordBatch.from_arrays(columns, ["chunk", "words", "grams"])
 
     return run
 
 
-def _count_phrases(state: DataFrame, length: int, head_bits: int, word_bits: int, positions: int, least: int, shard_entries: int):
-    """The frequent phrases of ``length`` words (id, head, last, f), the next state and the width of an id."""
+def _count_phrases(state: DataFrame, length: int, head_bits: int, word_bits: int, positions: int, least: int, shard_entries: int, go_on: bool):
+    """The frequent phrases of ``length`` words (id, head, last, f), the next state (None unless ``go_on``) and the width of an id.
+
+    ``state`` is deleted.
+    """
     shard_bits = max(0, (positions // shard_entries).bit_length())
     bits = max(head_bits + word_bits, shard_bits + 1)
     if bits > 64:
@@ -232,10 +229,19 @@ def _count_phrases(state: DataFrame, length: int, head_bits: int, word_bits: int
     found = tables.select("shard", entry).select(
         number, F.col("entry.heads").alias("head"), F.col("entry.lasts").alias("last"), F.col("entry.counts").alias("f")
     )
+    found = stage(found, "found")
     deepest = tables.agg(F.coalesce(F.max(F.size("heads")), F.lit(0))).first()[0]
-    replies = merged.filter("chunk IS NOT NULL").groupBy("chunk").agg(F.collect_list(F.struct("shard", "entries")).alias("replies"))
-    after = state.join(replies, "chunk").mapInArrow(_advanced(length, word_bits, bits, shard_bits), "chunk bigint, words binary, grams binary")
-    return stage(found, "found"), after, (max(1, deepest) << shard_bits).bit_length()
+    after = None
+    if go_on:
+        after = _next_state(state, merged, _advanced(length, word_bits, bits, shard_bits))
+    unstage(merged)
+    unstage(state)
+    return found, after, (max(1, deepest) << shard_bits).bit_length()
+
+
+def _next_state(state: DataFrame, merged: DataFrame, advanced) -> DataFrame:
+    replies = merged.filter("chunk IS NOT NULL").groupBy("chunk").agg(F.collect_list(F.struct("shard", "known", "places")).alias("replies"))
+    return stage(state.join(replies, "chunk").mapInArrow(advanced, "chunk bigint, words binary, grams binary"), "state")
 
 
 def frequent_phrases(
@@ -250,25 +256,30 @@ def frequent_phrases(
     words = stage(entries.groupBy("lang", "word").agg(F.sum("c").alias("f"), F.count("*").alias("n")), "vocabulary")
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     positions, rows = words.agg(F.coalesce(F.sum("f"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    frequent = stage(with_position(words.filter(F.col("f") >= least), ["lang", "word"], "id"), "frequent")
+    # Frequent words get low numbers, which take few bytes.
+    frequent = stage(with_position(words.filter(F.col("f") >= least), [F.desc("f"), "lang", "word"], "id"), "frequent")
     named = join_counted(entries.drop("c"), frequent.select("lang", "word", "n", "id"), ["lang", "word"], rows, how="left")
     name = F.when(F.col("id").isNotNull(), F.struct("local", "id"))
-    names = named.groupBy("chunk").agg(F.collect_list(name).alias("names")).filter(F.size("names") > 0)
-    state = chunks.select("chunk", "tokens").join(names, "chunk").mapInArrow(_renamed, "chunk bigint, words binary, grams binary")
+    # Written alone, so that the look-up's shuffle files are gone when the chunks are shuffled.
+    names = stage(named.groupBy("chunk").agg(F.collect_list(name).alias("names")).filter(F.size("names") > 0), "names")
+    # The dictionaries are not needed any more.
+    tokens = stage(chunks.select("chunk", "tokens"), "tokens")
+    unstage(chunks)
+    state = tokens.join(names, "chunk").mapInArrow(_renamed, "chunk bigint, words binary, grams binary")
     state = stage(state, "numbers")
+    unstage(tokens)
+    unstage(names)
     word_bits = head_bits = max(1, frequent.count().bit_length())
     shown = frequent.select("id", "lang", F.col("word").cast("string").alias("phrase"), F.lit(1).alias("size"), "f")
     phrases, spoken = shown, shown.select(F.col("id").alias("last"), F.col("phrase").alias("word"))
     for length in range(2, longest + 1):
-        found, after, head_bits = _count_phrases(state, length, head_bits, word_bits, positions, least, shard_entries)
+        found, state, head_bits = _count_phrases(state, length, head_bits, word_bits, positions, least, shard_entries, length < longest)
         heads = shown.select(F.col("id").alias("head"), "lang", "phrase")
         begun = stage(look_up(found, heads, ["head"]), "begun")
         full = look_up(begun, spoken, ["last"])
         text = F.concat_ws(" ", "phrase", "word").alias("phrase")
         shown = stage(full.select("id", "lang", text, F.lit(length).alias("size"), "f"), "shown")
         phrases = phrases.unionByName(shown)
-        if length < longest:
-            state = stage(after, "state")
     return phrases.drop("id"), totals
 
 

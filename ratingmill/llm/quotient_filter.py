@@ -11,6 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 
 _MULTIPLIERS = [0x9E3779B97F4A7C15, 0xD1342543DE82EF95]
 _U = np.uint64
@@ -51,16 +52,46 @@ def counted(sorted_keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[
     return sorted_keys[at], np.add.reduceat(counts, at) if len(at) else counts
 
 
+def _pressed(data: bytes) -> bytes:
+    """Entropy-coded, after its two lengths: the bytes of a plane are alike, so each plane is coded alone."""
+    coded = pa.Codec("zstd", compression_level=1).compress(data, asbytes=True) if data else b""
+    return len(data).to_bytes(4, "little") + len(coded).to_bytes(4, "little") + coded
+
+
+def _restored(data: bytes, at: int) -> tuple[np.ndarray, int]:
+    """The plane at a place and where the next one begins."""
+    size, length = (int.from_bytes(data[at + k : at + k + 4], "little") for k in (0, 4))
+    end = at + 8 + length
+    return np.frombuffer(pa.Codec("zstd").decompress(data[at + 8 : end], size, asbytes=True) if size else b"", np.uint8), end
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Integers of any size as planes: all lowest bytes, all next ones, and so on up to the highest that is used."""
+    values = np.ascontiguousarray(values)
+    planes = values.view(np.uint8).reshape(len(values), values.itemsize)
+    used = max((k + 1 for k in range(values.itemsize) if planes[:, k].any()), default=0)
+    return bytes([used]) + len(values).to_bytes(8, "little") + b"".join(_pressed(planes[:, k].tobytes()) for k in range(used))
+
+
+def unpack(data: bytes, kind) -> np.ndarray:
+    values = np.zeros(int.from_bytes(data[1:9], "little"), kind)
+    planes, at = values.view(np.uint8).reshape(len(values), values.itemsize), 9
+    for k in range(data[0]):
+        planes[:, k], at = _restored(data, at)
+    return values
+
+
 def _small(values: np.ndarray) -> bytes:
     """One byte per value; those from 255 on follow in full."""
-    return np.minimum(values, 255).astype(np.uint8).tobytes() + values[values >= 255].astype(np.int64).tobytes()
+    return _pressed(np.minimum(values, 255).astype(np.uint8).tobytes()) + _pressed(values[values >= 255].astype(np.int64).tobytes())
 
 
-def _read_small(data: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    values = data[:n].astype(np.int64)
-    large = np.flatnonzero(values == 255)
-    values[large] = np.frombuffer(data[n : n + 8 * len(large)].tobytes(), np.int64)
-    return values, data[n + 8 * len(large) :]
+def _read_small(data: bytes, at: int) -> tuple[np.ndarray, int]:
+    values, at = _restored(data, at)
+    large, at = _restored(data, at)
+    values = values.astype(np.int64)
+    values[values == 255] = large.view(np.int64)
+    return values, at
 
 
 def encode(keys: np.ndarray, counts: np.ndarray, bits: int) -> bytes:
@@ -72,18 +103,19 @@ def encode(keys: np.ndarray, counts: np.ndarray, bits: int) -> bytes:
     quotients = (keys >> _U(rest)).astype(np.int64) if rest < 64 else np.zeros(n, np.int64)
     remainders = keys & _U((1 << rest) - 1)
     held = np.bincount(quotients, minlength=1 << slots)
-    low = np.ascontiguousarray(remainders.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :width]
-    return bytes([slots]) + n.to_bytes(8, "little") + _small(held) + low.tobytes() + _small(counts)
+    low = np.ascontiguousarray(remainders.astype("<u8")).view(np.uint8).reshape(-1, 8)
+    return bytes([slots]) + n.to_bytes(8, "little") + _small(held) + b"".join(_pressed(low[:, k].tobytes()) for k in range(width)) + _small(counts)
 
 
 def decode(data: bytes, bits: int) -> tuple[np.ndarray, np.ndarray]:
     slots, n = data[0], int.from_bytes(data[1:9], "little")
     rest = bits - slots
     width = -(-rest // 8)
-    held, tail = _read_small(np.frombuffer(data, np.uint8)[9:], 1 << slots)
+    held, at = _read_small(data, 9)
     low = np.zeros((n, 8), np.uint8)
-    low[:, :width] = tail[: n * width].reshape(n, width)
-    counts, _ = _read_small(tail[n * width :], n)
+    for k in range(width):
+        low[:, k], at = _restored(data, at)
+    counts, _ = _read_small(data, at)
     quotients = np.repeat(np.arange(1 << slots, dtype=np.uint64), held)
     high = quotients << _U(rest) if rest < 64 else np.zeros(n, np.uint64)
     return high | low.reshape(-1).view("<u8").astype(np.uint64), counts
